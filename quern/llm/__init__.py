@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-_MODULES = ("sharding", "mixing", "pii", "imatch")
+_MODULES = ("langid", "pii", "imatch", "chat", "sharding", "sentencepiece", "mixing")
 
 
 def queries():
