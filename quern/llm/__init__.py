@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-_MODULES = ("langid", "pii", "imatch", "chat", "sharding", "sentencepiece", "mixing")
+_MODULES = ("langid", "pii", "imatch", "chat", "sharding", "sentencepiece", "minhash", "mixing")
 
 
 def queries():
