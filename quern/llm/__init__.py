@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-_MODULES = ("langid", "html_crf", "pii", "imatch", "chat", "sharding", "sentencepiece", "minhash", "mixing")
+_MODULES = ("langid", "html_crf", "hnsw", "pii", "imatch", "chat", "sharding", "sentencepiece", "minhash", "mixing")
 
 
 def queries():
