@@ -1 +1,6 @@
+"""Queries over the evidence tables and what they register."""
 
+from . import analytics, relational
+from .registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES", "analytics", "relational"]
