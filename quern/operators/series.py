@@ -8,15 +8,15 @@ from pyspark.sql import functions as F
 from .resolve import first_of
 
 
-def period_means(obs: DataFrame, keys: list[str]) -> DataFrame:
-    """Mean of each period, rounded to 4, with how many samples it has."""
-    return obs.groupBy(*keys, "period_label", "sort_key", "decimal_year").agg(F.round(F.avg("value"), 4).alias("value"), F.count(F.lit(1)).alias("sample_count"))
+def period_means(obs: DataFrame, keys: list[str], digits: int = 4) -> DataFrame:
+    """Mean of each period, rounded, with how many samples it has."""
+    return obs.groupBy(*keys, "period_label", "sort_key", "decimal_year").agg(F.round(F.avg("value"), digits).alias("value"), F.count(F.lit(1)).alias("sample_count"))
 
 
-def build(obs: DataFrame, keys: list[str], least: int = 2) -> DataFrame:
+def build(obs: DataFrame, keys: list[str], least: int = 2, digits: int = 4) -> DataFrame:
     """One row a series: its points in period order; at least ``least`` periods. An array holds a point a period."""
     point = F.struct("sort_key", "decimal_year", "period_label", "value", "sample_count")
-    series = period_means(obs, keys).groupBy(*keys).agg(F.array_sort(F.collect_list(point)).alias("points"))
+    series = period_means(obs, keys, digits).groupBy(*keys).agg(F.array_sort(F.collect_list(point)).alias("points"))
     return series.withColumn("n_points", F.size("points").cast("long")).where(F.col("n_points") >= least)
 
 

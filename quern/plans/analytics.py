@@ -15,13 +15,13 @@ TARGETS = {"1-URGENT": 280000.0, "2-HIGH": 275000.0, "5-LOW": 290000.0}
 _TARGET_SQL = "CASE metric " + " ".join(f"WHEN '{m}' THEN {t}" for m, t in TARGETS.items()) + " END"
 LATEST = "latest AS (SELECT * FROM obs QUALIFY sort_key = max(sort_key) OVER (PARTITION BY metric))"
 SNAP = f"snap AS (SELECT metric, region, value, round({_TARGET_SQL} - value, 6) AS gap FROM (SELECT metric, region, round(avg(value), 6) AS value FROM latest WHERE metric IN ('1-URGENT', '2-HIGH', '5-LOW') GROUP BY ALL))"
-POINTS = "pts AS (SELECT metric, region, sort_key, decimal_year, round(avg(value), 4) AS value FROM obs GROUP BY ALL)"
+POINTS = "pts AS (SELECT metric, region, sort_key, decimal_year, round(avg(value), 8) AS value FROM obs GROUP BY ALL)"
 
 
-@query("SELECT metric, region, count(*) AS n_points, arg_min(value, sort_key) AS first_value, arg_max(value, sort_key) AS last_value FROM pts GROUP BY ALL HAVING count(*) >= 2", OBS, POINTS)
+@query("SELECT metric, region, count(*) AS n_points, round(arg_min(value, sort_key), 6) AS first_value, round(arg_max(value, sort_key), 6) AS last_value FROM pts GROUP BY ALL HAVING count(*) >= 2", OBS, POINTS)
 def a5_series(spark, d):
-    s = series.build(views.observations(spark, d), ["metric", "region"])
-    return s.select("metric", "region", "n_points", F.get("points", 0)["value"].alias("first_value"), F.element_at("points", -1)["value"].alias("last_value"))
+    s = series.build(views.observations(spark, d), ["metric", "region"], digits=8)
+    return s.select("metric", "region", "n_points", F.round(F.get("points", 0)["value"], 6).alias("first_value"), F.round(F.element_at("points", -1)["value"], 6).alias("last_value"))
 
 
 @query("SELECT metric, region, value, gap FROM snap", OBS, LATEST, SNAP)
@@ -70,16 +70,16 @@ def l6_quadrants(spark, d):
 
 @query("SELECT metric, region, round(regr_slope(value, decimal_year), 2) AS slope, round(regr_r2(value, decimal_year), 4) AS r2, count(*) AS n_points FROM pts GROUP BY ALL", OBS, POINTS)
 def l1_fit(spark, d):
-    p = series.period_means(views.observations(spark, d), ["metric", "region"])
+    p = series.period_means(views.observations(spark, d), ["metric", "region"], 8)
     return series.fit(p, ["metric", "region"]).select("metric", "region", F.round("slope", 2).alias("slope"), F.round("r2", 4).alias("r2"), "n_points")
 
 
 @query(
-    "SELECT metric, region, round(slope, 6) AS slope, round(median(value - slope * decimal_year), 3) AS intercept FROM pts JOIN (SELECT a.metric, a.region, median((b.value - a.value) / (b.decimal_year - a.decimal_year)) AS slope FROM pts a JOIN pts b ON a.metric = b.metric AND a.region = b.region AND b.decimal_year > a.decimal_year GROUP BY ALL) USING (metric, region) GROUP BY ALL", OBS, POINTS,
+    "SELECT metric, region, round(slope, 4) AS slope, round(median(value - slope * decimal_year), 1) AS intercept FROM pts JOIN (SELECT a.metric, a.region, median((b.value - a.value) / (b.decimal_year - a.decimal_year)) AS slope FROM pts a JOIN pts b ON a.metric = b.metric AND a.region = b.region AND b.decimal_year > a.decimal_year GROUP BY ALL) USING (metric, region) GROUP BY ALL", OBS, POINTS,
 )
 def l3_theil_sen(spark, d):
-    p = series.period_means(views.observations(spark, d), ["metric", "region"])
-    return series.theil_sen(p, ["metric", "region"], "decimal_year", "value").select("metric", "region", F.round("slope", 6).alias("slope"), F.round("intercept", 3).alias("intercept"))
+    p = series.period_means(views.observations(spark, d), ["metric", "region"], 8)
+    return series.theil_sen(p, ["metric", "region"], "decimal_year", "value").select("metric", "region", F.round("slope", 4).alias("slope"), F.round("intercept", 1).alias("intercept"))
 
 
 _FORECAST = """fc AS (SELECT metric, region, count(*) AS n_points, regr_slope(value, decimal_year) AS slope, greatest(0, regr_r2(value, decimal_year)) AS r2, max(decimal_year) AS lx,
@@ -88,12 +88,12 @@ fp AS (SELECT *, CASE WHEN gap <= 0 THEN lx WHEN slope > 0 AND gap / slope <= 15
 
 
 @query(
-    "SELECT metric, region, n_points, round(gap, 5) AS gap, round(slope, 5) AS slope_per_year, round(r2, 4) AS r2, round(projected, 5) AS projected, CASE WHEN n_points < 3 THEN 'insufficient_data' WHEN gap <= 0 THEN 'met' WHEN slope > 0 THEN 'rising' ELSE 'not_rising' END AS trajectory, "
+    "SELECT metric, region, n_points, round(gap, 3) AS gap, round(slope, 3) AS slope_per_year, round(r2, 4) AS r2, round(projected, 3) AS projected, CASE WHEN n_points < 3 THEN 'insufficient_data' WHEN gap <= 0 THEN 'met' WHEN slope > 0 THEN 'rising' ELSE 'not_rising' END AS trajectory, "
     "CASE WHEN projected IS NULL THEN 'not_projected' WHEN projected <= 2005 THEN 'on_time' ELSE 'late' END AS deadline_status, CASE WHEN r2 >= 0.7 THEN 'strong' WHEN r2 >= 0.3 THEN 'moderate' ELSE 'weak' END AS fit_quality FROM fp", OBS, POINTS, _FORECAST,
 )
 def l4_forecast(spark, d):
-    p = series.period_means(views.observations(spark, d), ["metric", "region"])
-    return series.forecast(p, ["metric", "region"], 280000.0, 2005.0, digits=5)
+    p = series.period_means(views.observations(spark, d), ["metric", "region"], 8)
+    return series.forecast(p, ["metric", "region"], 280000.0, 2005.0, digits=3)
 
 
 @query(
@@ -106,7 +106,7 @@ def l5_spearman(spark, d):
 
 @query("SELECT metric, region, sort_key, round(value - (i + s * decimal_year), 1) AS residual FROM pts JOIN (SELECT metric, region, regr_slope(value, decimal_year) AS s, regr_intercept(value, decimal_year) AS i FROM pts GROUP BY ALL) USING (metric, region)", OBS, POINTS)
 def l7_residuals(spark, d):
-    p = series.period_means(views.observations(spark, d), ["metric", "region"])
+    p = series.period_means(views.observations(spark, d), ["metric", "region"], 8)
     return series.residuals(p, ["metric", "region"], "decimal_year", "value").select("metric", "region", "sort_key", F.round("residual", 1).alias("residual"))
 
 
