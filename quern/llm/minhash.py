@@ -305,7 +305,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     pairs = store(pairs, "pairs")
 
     wanted = members.select(F.col("rep").alias("doc_id")).distinct()
-    sets = store(shingle_sets(docs.join(wanted, "doc_id", "left_semi")).dropDuplicates(["key"]), "sets")
+    sets = store(shingle_sets(docs.join(wanted.hint("merge"), "doc_id", "left_semi")).dropDuplicates(["key"]), "sets")
     sig = classes.select("key", "sig")
     agreeing = F.expr("aggregate(sequence(1, length(sig)), 0, (n, i) -> n + int(substring(sig, i, 1) = substring(c_sig, i, 1)))")
     likely = pairs.join(sig, "key").join(sig.select(F.col("key").alias("c_key"), F.col("sig").alias("c_sig")), "c_key").where(agreeing >= LEAST_AGREEING * BANDS * ROWS)
