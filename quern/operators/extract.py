@@ -69,7 +69,7 @@ def coerced(payloads: DataFrame, column: str, item: str = "claim_text string, va
     """Findings of model outputs: a JSON array, or an object with ``findings`` or ``points``, or the first object inside other text."""
     array, wrapped = f"array<struct<{item}>>", f"struct<findings: array<struct<{item}>>, points: array<struct<{item}>>>"
     inner = F.regexp_extract(column, r"(?s)(\{.*\})", 1)
-    tried = [F.from_json(column, array), F.from_json(column, wrapped)["findings"], F.from_json(column, wrapped)["points"], F.from_json(inner, wrapped)["findings"], F.from_json(inner, wrapped)["points"]]
+    tried = [F.when(F.ltrim(column).startswith("["), F.from_json(column, array)), F.from_json(column, wrapped)["findings"], F.from_json(column, wrapped)["points"], F.from_json(inner, wrapped)["findings"], F.from_json(inner, wrapped)["points"]]
     return payloads.withColumn("findings", F.coalesce(*[F.when(F.size(t) > 0, t) for t in tried])).select("*", F.inline("findings")).drop("findings", column)
 
 

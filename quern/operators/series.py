@@ -20,20 +20,20 @@ def build(obs: DataFrame, keys: list[str], least: int = 2, digits: int = 4) -> D
     return series.withColumn("n_points", F.size("points").cast("long")).where(F.col("n_points") >= least)
 
 
-def latest_delta(points: DataFrame, keys: list[str]) -> DataFrame:
+def latest_delta(points: DataFrame, keys: list[str], digits: int = 2) -> DataFrame:
     """Latest point of each series and its change from the point before."""
     w = Window.partitionBy(*keys).orderBy("sort_key")
-    return first_of(points.withColumn("previous", F.lag("value").over(w)).withColumn("delta", F.round(F.col("value") - F.col("previous"), 2)), keys, F.desc("sort_key"))
+    return first_of(points.withColumn("previous", F.lag("value").over(w)).withColumn("delta", F.round(F.col("value") - F.col("previous"), digits)), keys, F.desc("sort_key"))
 
 
 def coverage(points: DataFrame, keys: list[str]) -> DataFrame:
     return points.groupBy(*keys).agg(F.min_by("period_label", "sort_key").alias("first_period"), F.max_by("period_label", "sort_key").alias("last_period"), F.count(F.lit(1)).alias("n_points"))
 
 
-def change(points: DataFrame, keys: list[str], least: float = 1.0) -> DataFrame:
+def change(points: DataFrame, keys: list[str], least: float = 1.0, digits: int = 2) -> DataFrame:
     """Start-to-end change where it is at least ``least``."""
     ends = points.groupBy(*keys).agg(F.min_by("value", "sort_key").alias("start_value"), F.max_by("value", "sort_key").alias("end_value"))
-    return ends.withColumn("change", F.round(F.col("end_value") - F.col("start_value"), 2)).where(F.abs("change") >= least)
+    return ends.withColumn("change", F.round(F.col("end_value") - F.col("start_value"), digits)).where(F.abs("change") >= least)
 
 
 def annual_latest(points: DataFrame, keys: list[str]) -> DataFrame:
@@ -82,7 +82,7 @@ def residuals(points: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
     return points.join(fits, keys).withColumn("expected", F.col("intercept") + F.col("slope") * F.col(x)).withColumn("residual", F.col(y) - F.col("expected"))
 
 
-def forecast(points: DataFrame, keys: list[str], target: float, deadline: float, horizon: float = 15.0, digits: int = 2) -> DataFrame:
+def forecast(points: DataFrame, keys: list[str], target: float, deadline: float, horizon: float = 15.0, digits: int = 2, gap_digits: int = 2) -> DataFrame:
     """Gap, slope, date at which the fit meets the target, and what that says about the deadline."""
     last = points.groupBy(*keys).agg(F.max("decimal_year").alias("last_x"), F.max_by("value", "decimal_year").alias("last_value"))
     out = fit(points, keys).join(last, keys).withColumn("gap", F.lit(target) - F.col("last_value"))
@@ -90,7 +90,7 @@ def forecast(points: DataFrame, keys: list[str], target: float, deadline: float,
     projected = F.when(F.col("gap") <= 0, F.col("last_x")).when(years <= horizon, F.col("last_x") + years)
     out = out.withColumn("projected", projected)
     return out.select(
-        *keys, "n_points", F.round("gap", digits).alias("gap"), F.round("slope", digits).alias("slope_per_year"), F.round("r2", 4).alias("r2"), F.round("projected", digits).alias("projected"),
+        *keys, "n_points", F.round("gap", gap_digits).alias("gap"), F.round("slope", digits).alias("slope_per_year"), F.round("r2", 4).alias("r2"), F.round("projected", digits).alias("projected"),
         F.when(F.col("n_points") < 3, "insufficient_data").when(F.col("gap") <= 0, "met").when(F.col("slope") > 0, "rising").otherwise("not_rising").alias("trajectory"),
         F.when(F.col("projected").isNull(), "not_projected").when(F.col("projected") <= deadline, "on_time").otherwise("late").alias("deadline_status"),
         F.when(F.col("r2") >= 0.7, "strong").when(F.col("r2") >= 0.3, "moderate").otherwise("weak").alias("fit_quality"),

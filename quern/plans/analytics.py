@@ -51,7 +51,8 @@ def b7_ladder(spark, d):
 
 
 @query(
-    "SELECT region, round(x, 6) AS x, round(y, 6) AS y FROM (SELECT sort_key, region, avg(value) FILTER (WHERE metric = '1-URGENT') AS x, avg(value) FILTER (WHERE metric = '5-LOW') AS y FROM obs GROUP BY ALL) WHERE x IS NOT NULL AND y IS NOT NULL QUALIFY sort_key = max(sort_key) OVER () AND count(*) OVER (PARTITION BY sort_key) >= 3", OBS,
+    "SELECT region, round(x, 6) AS x, round(y, 6) AS y FROM sx WHERE sort_key = (SELECT max(sort_key) FROM (SELECT sort_key FROM sx GROUP BY 1 HAVING count(*) >= 3))",
+    OBS, "sx AS (SELECT * FROM (SELECT sort_key, region, avg(value) FILTER (WHERE metric = '1-URGENT') AS x, avg(value) FILTER (WHERE metric = '5-LOW') AS y FROM obs GROUP BY ALL) WHERE x IS NOT NULL AND y IS NOT NULL)",
 )
 def j6_scatter(spark, d):
     return regional.scatter(views.observations(spark, d), "1-URGENT", "5-LOW").select("region", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
@@ -88,12 +89,12 @@ fp AS (SELECT *, CASE WHEN gap <= 0 THEN lx WHEN slope > 0 AND gap / slope <= 15
 
 
 @query(
-    "SELECT metric, region, n_points, round(gap, 3) AS gap, round(slope, 3) AS slope_per_year, round(r2, 4) AS r2, round(projected, 3) AS projected, CASE WHEN n_points < 3 THEN 'insufficient_data' WHEN gap <= 0 THEN 'met' WHEN slope > 0 THEN 'rising' ELSE 'not_rising' END AS trajectory, "
+    "SELECT metric, region, n_points, round(gap, 6) AS gap, round(slope, 3) AS slope_per_year, round(r2, 4) AS r2, round(projected, 3) AS projected, CASE WHEN n_points < 3 THEN 'insufficient_data' WHEN gap <= 0 THEN 'met' WHEN slope > 0 THEN 'rising' ELSE 'not_rising' END AS trajectory, "
     "CASE WHEN projected IS NULL THEN 'not_projected' WHEN projected <= 2005 THEN 'on_time' ELSE 'late' END AS deadline_status, CASE WHEN r2 >= 0.7 THEN 'strong' WHEN r2 >= 0.3 THEN 'moderate' ELSE 'weak' END AS fit_quality FROM fp", OBS, POINTS, _FORECAST,
 )
 def l4_forecast(spark, d):
     p = series.period_means(views.observations(spark, d), ["metric", "region"], 8)
-    return series.forecast(p, ["metric", "region"], 280000.0, 2005.0, digits=3)
+    return series.forecast(p, ["metric", "region"], 280000.0, 2005.0, digits=3, gap_digits=6)
 
 
 @query(
@@ -104,10 +105,10 @@ def l5_spearman(spark, d):
     return series.spearman(p, ["brand"], "p_size", "p_retailprice").select("brand", F.round("rho", 4).alias("rho"), "n")
 
 
-@query("SELECT metric, region, sort_key, round(value - (i + s * decimal_year), 1) AS residual FROM pts JOIN (SELECT metric, region, regr_slope(value, decimal_year) AS s, regr_intercept(value, decimal_year) AS i FROM pts GROUP BY ALL) USING (metric, region)", OBS, POINTS)
+@query("SELECT metric, region, sort_key, round(value - (i + s * decimal_year), 1) + 0.0 AS residual FROM pts JOIN (SELECT metric, region, regr_slope(value, decimal_year) AS s, regr_intercept(value, decimal_year) AS i FROM pts GROUP BY ALL) USING (metric, region)", OBS, POINTS)
 def l7_residuals(spark, d):
     p = series.period_means(views.observations(spark, d), ["metric", "region"], 8)
-    return series.residuals(p, ["metric", "region"], "decimal_year", "value").select("metric", "region", "sort_key", F.round("residual", 1).alias("residual"))
+    return series.residuals(p, ["metric", "region"], "decimal_year", "value").select("metric", "region", "sort_key", (F.round("residual", 1) + 0.0).alias("residual"))
 
 
 @query("SELECT metric, format('{} moved from {} to {}', metric, first, last) AS sentence FROM (SELECT metric, arg_min(period_label, sort_key) AS first, arg_max(period_label, sort_key) AS last FROM obs GROUP BY 1)", OBS)

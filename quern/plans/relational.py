@@ -370,15 +370,15 @@ def w7_preferred_series(spark, d):
     return series.preferred(s, spec, ["metric", "region"]).select("panel", "metric", "region", "n_points")
 
 
-@query("SELECT metric, sort_key, value, round(value - lag(value) OVER (PARTITION BY metric ORDER BY sort_key), 2) AS delta FROM (SELECT metric, sort_key, round(avg(value), 4) AS value FROM obs GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY metric ORDER BY sort_key DESC) = 1", OBS)
+@query("SELECT metric, sort_key, value, round(value - lag(value) OVER (PARTITION BY metric ORDER BY sort_key), 6) AS delta FROM (SELECT metric, sort_key, round(avg(value), 6) AS value FROM obs GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY metric ORDER BY sort_key DESC) = 1", OBS)
 def w8_latest_delta(spark, d):
-    p = series.period_means(views.observations(spark, d), ["metric"])
-    return series.latest_delta(p, ["metric"]).select("metric", "sort_key", "value", "delta")
+    p = series.period_means(views.observations(spark, d), ["metric"], 6)
+    return series.latest_delta(p, ["metric"], 6).select("metric", "sort_key", "value", "delta")
 
 
-@query("SELECT metric, region, round(arg_max(value, sort_key) - arg_min(value, sort_key), 2) AS change FROM (SELECT metric, region, sort_key, round(avg(value), 4) AS value FROM obs GROUP BY ALL) GROUP BY ALL HAVING abs(change) >= 1", OBS)
+@query("SELECT metric, region, round(arg_max(value, sort_key) - arg_min(value, sort_key), 6) AS change FROM (SELECT metric, region, sort_key, round(avg(value), 8) AS value FROM obs GROUP BY ALL) GROUP BY ALL HAVING abs(change) >= 1", OBS)
 def w9_start_to_end(spark, d):
-    return series.change(series.period_means(views.observations(spark, d), ["metric", "region"]), ["metric", "region"]).select("metric", "region", "change")
+    return series.change(series.period_means(views.observations(spark, d), ["metric", "region"], 8), ["metric", "region"], digits=6).select("metric", "region", "change")
 
 
 @query("SELECT p_partkey, rank() OVER (PARTITION BY p_brand ORDER BY p_size) + (count(*) OVER (PARTITION BY p_brand, p_size) - 1) / 2.0::DOUBLE AS avg_rank FROM part")
@@ -409,10 +409,10 @@ def w14_year_grid(spark, d):
     return series.year_grid(p, ["region"]).select("region", "year", "n")
 
 
-@query("SELECT region, metric, year, round(v - lag(v) OVER (PARTITION BY region, metric ORDER BY year), 2) AS delta FROM (SELECT region, metric, year, round(avg(value), 2) AS v FROM obs GROUP BY ALL)", OBS)
+@query("SELECT region, metric, year, round(v - lag(v) OVER (PARTITION BY region, metric ORDER BY year), 6) AS delta FROM (SELECT region, metric, year, round(avg(value), 8) AS v FROM obs GROUP BY ALL)", OBS)
 def w15_year_delta(spark, d):
-    g = views.observations(spark, d).groupBy("region", "metric", "year").agg(F.round(F.avg("value"), 2).alias("v"))
-    return g.select("region", "metric", "year", F.round(F.col("v") - F.lag("v").over(Window.partitionBy("region", "metric").orderBy("year")), 2).alias("delta"))
+    g = views.observations(spark, d).groupBy("region", "metric", "year").agg(F.round(F.avg("value"), 8).alias("v"))
+    return g.select("region", "metric", "year", F.round(F.col("v") - F.lag("v").over(Window.partitionBy("region", "metric").orderBy("year")), 6).alias("delta"))
 
 
 @query("SELECT year, n, n - lag(n) OVER (ORDER BY year) AS change FROM (SELECT run_id AS year, count(*) AS n FROM claims GROUP BY 1)", CLAIMS)
