@@ -23,6 +23,8 @@ from ._common import store, table
 
 N_SLOTS = 4096
 N_SHARDS = 8
+#: Rebalancing takes slots only from shards this much over their fair share.
+TOLERANCE = 0.01
 MAP_SCHEMA = "version int, vslot int, shard int, bytes long"
 
 
@@ -70,7 +72,8 @@ def rebalanced(shard_of: dict[int, int], totals: dict[int, int], n_shards: int)
     for slot in sorted(homeless, key=lambda s: (-totals.get(s, 0), s)):
         out[slot] = min(load, key=lambda s: (load[s], s))
         load[out[slot]] += totals.get(slot, 0)
-    for slot in sorted(out, key=lambda s: (-totals.get(s, 0), s)):
+    donors = {h for h, n in load.items() if n > fair * (1 + TOLERANCE)}
+    for slot in sorted((s for s, h in out.items() if h in donors), key=lambda s: (-totals.get(s, 0), s)):
         size, at, to = totals.get(slot, 0), out[slot], min(load, key=lambda s: (load[s], s))
         if size and load[at] - size >= fair and load[to] + size <= fair:
             out[slot] = to
