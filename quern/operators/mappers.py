@@ -26,6 +26,7 @@ QUICK_FACTS = {
     "35-49 y/o": ("reported_cases", "age_35_49"), "50 y/o & above": ("reported_cases", "age_50_plus"), "reported deaths": ("reported_deaths", "total"), "newly started on art": ("new_art_starts", "total"),
     "total plhiv on art": ("plhiv_on_art", "total"),
 }
+# How region names are written, and number forms.
 _REGION = r"(?:National Capital Region(?:\s*\(NCR\))?|Cordillera Administrative Region(?:\s*\(CAR\))?|Bangsamoro Autonomous Region in Muslim Mindanao\s*\(BARMM\)|Autonomous Region in Muslim Mindanao\s*\(ARMM\)|Region\s*[IVX0-9]+(?:\s*-?\s*[ABab]\b)?|NCR|CARAGA|BARMM|ARMM|NIR|CAR)"
 _PCT, _COUNT = r"(<?\d+(?:\.\d+)?)%", r"(\d[\d,]*)"
 # How bulletins say a region's count and share: pattern, and the groups of region, count and share.
