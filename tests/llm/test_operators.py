@@ -492,3 +492,16 @@ def test_mix_targets_and_caps(spark, edges, empty):
     assert sorted(zip(got["doc_id"], got["taken"], strict=True)) == sorted(zip(again["doc_id"], again["taken"], strict=True))
     assert mixing.mix(edges).count() == len(EDGES)
     assert mixing.mix(empty).count() == 0
+
+
+def test_mix_small_sources_reach_their_targets_beside_a_large_corpus(spark):
+    """80M words make blocks of 610; sources of a few words have targets of twice that, one with a small weight beside huge ones has less."""
+    key = lambda name: F.struct(F.lit(False).alias("isnull"), name.alias("name"))
+    big = spark.range(800).select(F.col("id").alias("doc_id"), key(F.concat(F.lit("big"), F.col("id") % 4)).alias("skey"), F.lit(100_000).cast("long").alias("size"))
+    tail = spark.range(3000).select((F.col("id") + 1000).alias("doc_id"), key(F.concat(F.lit("tail"), F.col("id") % 1000)).alias("skey"), (F.col("id") % 50 + 1).alias("size"))
+    got = mixing.mix_sized(big.unionByName(tail), mixing.SHARE, mixing.CAP, mixing.WEIGHTS, mixing.BLOCKS).toPandas()
+    assert len(got) == 3800 and (got["taken"] <= 2 * got["size"]).all()
+    for source, rows in got.groupby("source"):
+        off = abs(rows["taken"].sum() - rows["target"].iloc[0])
+        assert off <= (0.5 if source.startswith("tail") else 0.005 * rows["target"].iloc[0]), source
+    assert got[got["source"].str.startswith("tail")].eval("taken == 2 * size").all()
