@@ -13,18 +13,19 @@ def pages(documents: DataFrame) -> DataFrame:
     return out.withColumn("page_no", F.coalesce(F.nullif(F.regexp_extract("page_text", r"^## \[Page (\d+)\]", 1), F.lit("")).cast("int"), F.lit(0)))
 
 
-def packed(text: Column, chunk_chars: int = 8000, max_chunks: int = 40) -> Column:
-    """Lines packed greedily into chunks of at most ``chunk_chars`` (a longer line is a chunk of its own), the first ``max_chunks``."""
+def packed(text: Column, chunk_chars: int = 8000, max_chunks: int | None = None) -> Column:
+    """Lines packed greedily into chunks of at most ``chunk_chars`` (a longer line is a chunk of its own): all, or the first ``max_chunks``."""
     start = F.struct(F.expr("cast(array() as array<string>)").alias("done"), F.lit("").alias("open"))
     def step(a, line):
         joined = F.when(a["open"] == "", line).otherwise(F.concat(a["open"], F.lit("\n"), line))
         full = (a["open"] != "") & (F.length(joined) > chunk_chars)
         return F.struct(F.when(full, F.concat(a["done"], F.array(a["open"]))).otherwise(a["done"]).alias("done"), F.when(full, line).otherwise(joined).alias("open"))
     chunks = F.aggregate(F.split(text, "\n"), start, step, lambda a: F.concat(a["done"], F.array(a["open"])))
-    return F.slice(F.filter(chunks, lambda c: F.trim(c) != ""), 1, max_chunks)
+    filled = F.filter(chunks, lambda c: F.trim(c) != "")
+    return filled if max_chunks is None else F.slice(filled, 1, max_chunks)
 
 
-def chunks(documents: DataFrame, chunk_chars: int = 8000, max_chunks: int = 40) -> DataFrame:
+def chunks(documents: DataFrame, chunk_chars: int = 8000, max_chunks: int | None = None) -> DataFrame:
     return documents.select("doc_id", F.posexplode(packed(F.col("text"), chunk_chars, max_chunks)).alias("chunk_no", "chunk"))
 
 

@@ -15,8 +15,12 @@ def row_label(claim_text: Column) -> Column:
     return F.nullif(F.regexp_extract(claim_text, r":\s*(.+?)\s+has values\s", 1), F.lit(""))
 
 
-def table_rows(lines: DataFrame, most: int = 20, least_cells: int = 4) -> DataFrame:
-    """Pipe rows with at least ``least_cells`` cells and two values in a row become claims; the first ``most`` of a document."""
+def leading(rows: DataFrame, most: int | None) -> DataFrame:
+    return rows if most is None else first_of(rows, ["doc_id"], F.asc("line_no"), n=most)
+
+
+def table_rows(lines: DataFrame, most: int | None = None, least_cells: int = 4) -> DataFrame:
+    """Pipe rows with at least ``least_cells`` cells and two values in a row become claims; all, or the first ``most`` of a document."""
     rows = lines.withColumn("cells", chunks.cells(F.col("line")))
     is_row = F.col("line").contains("|")
     rows = chunks.carried_context(rows.withColumn("is_row", is_row), ["doc_id"], "line_no", ~F.col("is_row"), "line").where("is_row")
@@ -24,24 +28,24 @@ def table_rows(lines: DataFrame, most: int = 20, least_cells: int = 4) -> DataFr
     label = F.get("cells", 0)
     text = F.concat_ws("", F.coalesce("context", F.lit("Table")), F.lit(": "), label, F.lit(" has values "), F.array_join("values", ", "), F.lit("."))
     out = rows.select("doc_id", "line_no", text.alias("claim_text"), F.array_join("values", " | ").alias("value"), F.col("line").alias("snippet"), F.lit("Structured Table Row").alias("category"), F.lit(0.95).alias("confidence"))
-    return first_of(out, ["doc_id"], F.asc("line_no"), n=most)
+    return leading(out, most)
 
 
-def quantitative_lines(lines: DataFrame, most: int = 8, low: int = 35, high: int = 420) -> DataFrame:
-    """Lines of fit length with at least two numbers."""
+def quantitative_lines(lines: DataFrame, most: int | None = None, low: int = 35, high: int = 420) -> DataFrame:
+    """Lines of fit length with at least two numbers; all, or the first ``most`` of a document."""
     n = F.regexp_count("line", F.lit(r"\d[\d,]*(?:\.\d+)?"))
     kept = lines.where(F.length("line").between(low, high) & (n >= 2) & ~F.col("line").contains("|"))
     out = kept.select("doc_id", "line_no", F.col("line").alias("claim_text"), F.lit(None).cast("string").alias("value"), F.col("line").alias("snippet"), F.lit("Quantitative Narrative").alias("category"), F.lit(0.93).alias("confidence"))
-    return first_of(out, ["doc_id"], F.asc("line_no"), n=most)
+    return leading(out, most)
 
 
-def narrative_sentences(documents: DataFrame, most: int = 8, markers: tuple[str, ...] = MARKERS) -> DataFrame:
-    """Sentences of 50 to 500 characters with two numbers and a marker, without addresses."""
+def narrative_sentences(documents: DataFrame, most: int | None = None, markers: tuple[str, ...] = MARKERS) -> DataFrame:
+    """Sentences of 50 to 500 characters with two numbers and a marker, without addresses; all, or the first ``most`` of a document."""
     s = chunks.sentences(documents)
     n = F.regexp_count("sentence", F.lit(r"\d[\d,]*(?:\.\d+)?"))
     kept = s.where(F.length("sentence").between(50, 500) & (n >= 2) & F.lower("sentence").rlike("|".join(markers)) & ~F.col("sentence").rlike(r"https?://|@"))
     out = kept.select("doc_id", F.col("sentence_no").alias("line_no"), F.col("sentence").alias("claim_text"), F.lit(None).cast("string").alias("value"), F.col("sentence").alias("snippet"), F.lit("Narrative Statistic").alias("category"), F.lit(0.92).alias("confidence"))
-    return first_of(out, ["doc_id"], F.asc("line_no"), n=most)
+    return leading(out, most)
 
 
 def claims(documents: DataFrame) -> DataFrame:

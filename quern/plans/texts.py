@@ -179,7 +179,7 @@ def x_claims(spark, d):
 @query()
 def x5_located_snippets(spark, d):
     docs = views.table(spark, d, "documents")
-    found = extract.narrative_sentences(docs, 3, ("the", "de", "der")).select("doc_id", "line_no", "snippet").join(docs.select("doc_id", "text"), "doc_id")
+    found = extract.narrative_sentences(docs, markers=("the", "de", "der")).select("doc_id", "line_no", "snippet").join(docs.select("doc_id", "text"), "doc_id")
     return extract.located(found).select("doc_id", "line_no", "start", "stop", F.length("window").alias("n"))
 
 

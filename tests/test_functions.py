@@ -1,5 +1,7 @@
 """Scalar functions on cases whose results follow from their rules."""
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -109,6 +111,37 @@ def test_table_row_claims_carry_their_context(spark):
     assert one(spark, extract.row_label(F.col("t")), t=(got[0].claim_text, "string")) == "NCR"
 
 
+@pytest.fixture
+def long_document(spark, tmp_path):
+    """60 table rows, quantitative lines and narrative sentences each, and text far past 40 chunks of 2000 characters."""
+    rows = [f"Area {k} | {k} | {k + 1} | {k + 2}" for k in range(60)]
+    said = [f"In the quarter {k + 1000} cases and {k + 2000} deaths were reported in the area." for k in range(60)]
+    text = "\n".join(rows + said + ["filler " * 250] * 60)
+    spark.createDataFrame([(1, text, "src0", "en", len(text))], "doc_id long, text string, source string, lang string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    return str(tmp_path)
+
+
+def test_claims_of_a_long_document_are_not_capped(spark, long_document):
+    from quern.plans import QUERIES
+
+    def categories(name):
+        return Counter(r.category for r in QUERIES[name](spark, long_document).collect())
+
+    # the table runs into the first sentence; line and sentence claims alike in text are one
+    for name in ("x_claims", "c10_review_queue"):
+        assert categories(name)["Structured Table Row"] == 60 and categories(name)["Quantitative Narrative"] == 60
+    assert extract.narrative_sentences(spark.read.parquet(f"{long_document}/documents.parquet")).count() >= 58
+    assert QUERIES["x5_located_snippets"](spark, long_document).count() >= 58
+
+
+def test_chunks_cover_the_whole_text(spark, long_document):
+    from quern.plans import QUERIES
+
+    text = spark.read.parquet(f"{long_document}/documents.parquet").first().text
+    got = QUERIES["g2_chunks"](spark, long_document).orderBy("chunk_no").collect()
+    assert len(got) > 40 and sum(r.n for r in got) + len(got) - 1 == len(text) and all(r.n <= 2000 for r in got)
+
+
 def test_located_snippet(spark):
     df = spark.createDataFrame([("aaa the  cases bbb", "the cases"), ("xyz", "none")], "text string, snippet string")
     a, b = extract.located(df).collect()
