@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions import numbers, periods
+from ..functions import numbers, periods, text
 from ..operators import classify, draws, quality, regional, series
 from ..sources import readers, views
 from ..sources.views import CLAIMS, DRAWS, OBS, OFFICIAL, REGISTRY
@@ -185,27 +185,53 @@ def q3_contract(spark, d):
 
 @query("SELECT item_id, doc_id FROM benchmark b JOIN documents d ON contains(lower(d.text), lower(b.text))")
 def q1_containment(spark, d):
-    """Passages in documents: candidates hold four whole words of the passage in a row, found by a join on their hash; then exact containment."""
-    words = lambda c: F.split(F.lower(F.trim(c)), r"[^a-z0-9À-ÿß]+")
-    four = lambda w, i: F.xxhash64(*[F.get(w, i + k) for k in range(4)])
-    items = views.table(spark, d, "benchmark").select("item_id", F.lower("text").alias("passage"), four(words(F.col("text")), F.lit(1)).alias("key"))
+    """Passages in documents: candidates hold four whole words of the passage in a row, found by a join on their hash; then exact containment.
+
+    Words 1 to 4 of a passage are whole in a document too if a sixth follows; passages with fewer (or in other scripts) are tried on every document.
+    """
+    items = views.table(spark, d, "benchmark").select("item_id", F.lower("text").alias("passage"), _words(F.col("text")).alias("pw"))
     docs = views.table(spark, d, "documents").select("doc_id", "text")
-    # words are a column of their own: inside the lambda they would be split anew at every place
-    split = docs.select("doc_id", words(F.col("text")).alias("w")).where(F.size("w") >= 4)
-    keys = F.transform(F.sequence(F.lit(0), F.size("w") - 4), lambda i: four(F.col("w"), i))
-    grams = split.select("doc_id", F.explode(F.array_distinct(keys)).alias("key"))
-    hits = grams.join(items, "key").select("doc_id", "item_id", "passage").distinct()
-    return hits.join(docs, "doc_id").where(F.contains(F.lower("text"), "passage")).select("item_id", "doc_id").distinct()
+    keyed = items.where(F.size("pw") >= 6).select("item_id", "passage", _four("pw", F.lit(1)).alias("key"))
+    grams = docs.select("doc_id", _words(F.col("text")).alias("w")).select("doc_id", F.explode(_fours("w")).alias("key"))
+    hits = grams.join(keyed, "key").select("doc_id", "item_id", "passage").distinct()
+    found = hits.join(docs, "doc_id").where(F.contains(F.lower("text"), "passage")).select("item_id", "doc_id")
+    few = items.where(F.size("pw") < 6).select("item_id", "passage")
+    tried = docs.select("doc_id", F.lower("text").alias("low")).join(F.broadcast(few), F.contains("low", "passage")).select("item_id", "doc_id")
+    return found.unionByName(tried).distinct()
+
+
+def _words(c):
+    return F.split(F.lower(F.trim(c)), r"[^a-z0-9À-ÿß]+")
+
+
+def _four(w, i):
+    return F.xxhash64(*[F.get(w, i + k) for k in range(4)])
+
+
+def _fours(w):
+    """Hashes of all runs of four words; ``w`` is a column of its own, for inside the lambda words would be split anew at every place."""
+    return F.when(F.size(w) >= 4, F.array_distinct(F.transform(F.sequence(F.lit(0), F.size(w) - 4), lambda i: _four(w, i))))
 
 
 @query()
 def q2_fuzzy_containment(spark, d):
-    """Longest common substring share of each passage in the documents that hold its beginning."""
-    items = views.table(spark, d, "benchmark").select("item_id", F.col("text").alias("passage"), F.substring("text", 1, 24).alias("lead"))
-    docs = views.table(spark, d, "documents").select("doc_id", "text")
-    keyed = docs.select("doc_id", F.explode(F.split("text", r"(?<=[.!?])\s+|\n")).alias("sentence")).select("doc_id", F.substring("sentence", 1, 24).alias("lead")).distinct()
-    pairs = items.join(keyed, "lead").select("item_id", "doc_id", "passage").join(docs, "doc_id")
-    return pairs.select("item_id", "doc_id", F.round(quality.fuzzy_share(F.col("text"), F.col("passage")), 4).alias("share"))
+    """Longest common substring share of each passage in documents, both in lower case with single spaces.
+
+    Pairs share four words in a row, wherever they stand. A share of 95 % or more always holds the middle nine tenths of the passage, so that
+    has four whole words in common where it has six; passages with fewer (or in other scripts) are paired with the documents that hold it.
+    """
+    even = lambda c: F.lower(text.collapse(F.col(c)))
+    items = views.table(spark, d, "benchmark").select("item_id", even("text").alias("passage")).where("passage != ''")
+    edge = F.floor(F.length("passage") / 20).cast("int")
+    items = items.withColumn("core", F.col("passage").substr(edge + 1, F.length("passage") - 2 * edge))
+    items = items.withColumn("long", F.size(_words(F.col("core"))) >= 6).withColumn("pw", _words(F.col("passage")))
+    docs = views.table(spark, d, "documents").select("doc_id", even("text").alias("low"))
+    keyed = items.where("long").select("item_id", "passage", F.explode(_fours("pw")).alias("key"))
+    grams = docs.select("doc_id", _words(F.col("low")).alias("w")).select("doc_id", F.explode(_fours("w")).alias("key"))
+    pairs = grams.join(keyed, "key").select("doc_id", "item_id", "passage").distinct().join(docs, "doc_id").select("item_id", "doc_id", "passage", "low")
+    few = items.where("not long").select("item_id", "passage", "core")
+    pairs = pairs.unionByName(docs.join(F.broadcast(few), F.contains("low", "core")).select("item_id", "doc_id", "passage", "low"))
+    return pairs.select("item_id", "doc_id", F.round(quality.fuzzy_share(F.col("low"), F.col("passage")), 4).alias("share"))
 
 
 _FEATURES = (
