@@ -61,14 +61,14 @@ LEAST, BONUS, WINDOW = 0.5, 0.3, 40
 
 
 def _found(kind: Kind, order: int, text: str) -> str:
-    """SQL for the confirmed spans of one kind: array of (start, kind_no, kind, stop, score, m)."""
+    """SQL for the confirmed spans of one kind: array of (start, kind_no, kind, stop, score, m); ``tail`` is the text before a gap, as far as a window reaches."""
     return f"""
     filter(aggregate(
       zip_with(__m, slice(split({text}, p, -1), 1, size(__m)), (m, gap) -> struct(m, gap)),
-      cast(struct(0 as at, array() as spans) as struct<at: int, spans: array<struct<start: int, kind_no: int, kind: string, stop: int, score: double, m: string>>>),
-      (a, x) -> struct(a.at + length(x.gap) + length(x.m) as at,
+      cast(struct(0 as at, '' as tail, array() as spans) as struct<at: int, tail: string, spans: array<struct<start: int, kind_no: int, kind: string, stop: int, score: double, m: string>>>),
+      (a, x) -> struct(a.at + length(x.gap) + length(x.m) as at, right(concat(a.tail, x.gap, x.m), {WINDOW}) as tail,
         concat(a.spans, array(struct(a.at + length(x.gap) as start, {order} as kind_no, '{kind.name}' as kind, a.at + length(x.gap) + length(x.m) as stop,
-          least(1.0D, {kind.score}D + if(lower(right(x.gap, {WINDOW})) rlike '{kind.context}', {BONUS}D, 0.0D)) as score, x.m as m))) as spans),
+          least(1.0D, {kind.score}D + if(lower(right(concat(a.tail, x.gap), {WINDOW})) rlike '{kind.context}', {BONUS}D, 0.0D)) as score, x.m as m))) as spans),
       a -> a.spans), s -> s.score >= {LEAST} and {kind.confirm.replace("m rlike", "s.m rlike").replace("(m,", "(s.m,")})
     """
 
@@ -92,9 +92,15 @@ def redact(docs: DataFrame, kinds: tuple[Kind, ...] = KINDS) -> DataFrame:
     for kind in kinds:
         p = "'" + kind.pattern.replace("\\", "\\\\") + "'"
         confirm = kind.confirm.replace("(m,", "(x.m,").replace("m rlike", "x.m rlike")
-        near = f"{kind.score}D + if(lower(right(x.gap, {WINDOW})) rlike '{kind.context}', {BONUS}D, 0.0D) >= {LEAST}D"
-        sql = f"""array_join(transform(zip_with(split(text, {p}, -1), regexp_extract_all(text, {p}, 0), (gap, m) -> struct(gap, m)),
-            x -> concat(x.gap, case when x.m is null then '' when {near} and {confirm} then '[{kind.name.upper()}]' else x.m end)), '')"""
+        pairs = f"zip_with(split(text, {p}, -1), regexp_extract_all(text, {p}, 0), (gap, m) -> struct(gap, m))"
+        put = f"concat(x.gap, case when x.m is null then '' when __near and {confirm} then '[{kind.name.upper()}]' else x.m end)"
+        if kind.score >= LEAST:
+            sql = f"array_join(transform({pairs}, x -> {put.replace('__near', 'true')}), '')"
+        else:  # the window reaches back over earlier matches
+            near = f"{kind.score}D + if(lower(right(concat(a.tail, x.gap), {WINDOW})) rlike '{kind.context}', {BONUS}D, 0.0D) >= {LEAST}D"
+            start = "cast(struct('' as tail, array() as parts) as struct<tail: string, parts: array<string>>)"
+            step = f"struct(right(concat(a.tail, x.gap, coalesce(x.m, '')), {WINDOW}) as tail, concat(a.parts, array({put.replace('__near', near)})) as parts)"
+            sql = f"array_join(aggregate({pairs}, {start}, (a, x) -> {step}, a -> a.parts), '')"
         docs = docs.withColumn("text", F.expr(f"if(text rlike {p}, {sql}, text)"))
     return docs.withColumn("n_chars", F.length(text).cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else docs
 
