@@ -544,6 +544,12 @@ def z3_postings(spark, d):
     return search.postings(docs, "doc_id", ["text"]).select("term", "doc_id", "tf")
 
 
+@query("SELECT term, doc_id, count(*) AS tf FROM (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^a-z0-9]+')) AS term FROM documents) WHERE term <> '' GROUP BY ALL")
+def z3_all_postings(spark, d):
+    """Postings of the whole table; z3_postings is held to the documents its SQL names."""
+    return search.postings(views.table(spark, d, "documents"), "doc_id", ["text"]).select("term", "doc_id", "tf")
+
+
 @query("SELECT doc_id, count(*) AS tf FROM (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^a-z0-9]+')) AS term FROM documents) WHERE term IN ('the', 'and', 'with') GROUP BY 1 HAVING count(DISTINCT term) = 3")
 def z3_term_search(spark, d):
     index = search.postings(views.table(spark, d, "documents"), "doc_id", ["text"])

@@ -93,6 +93,12 @@ def g6_sentences(spark, d):
     return chunks.sentences(docs).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query()
+def g6_all_sentences(spark, d):
+    """Sentences of every document that has any; g6_sentences is held to the documents its SQL can count."""
+    return chunks.sentences(views.table(spark, d, "documents")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("SELECT doc_id, line_no, len(list_filter(list_transform(string_split(line, '|'), lambda x: trim(x)), lambda x: x <> '')) AS n FROM lines WHERE contains(line, '|')", LINES)
 def g7_cells(spark, d):
     return chunks.lines(views.table(spark, d, "documents")).where(F.contains("line", F.lit("|"))).select("doc_id", "line_no", F.size(chunks.cells(F.col("line"))).cast("long").alias("n"))
@@ -362,6 +368,12 @@ def s8_link_labels(spark, d):
     return readers.links(views.table(spark, d, "pages")).where(~F.contains("label", F.lit("&"))).select("page_id", "label")
 
 
+@query()
+def s8_all_link_labels(spark, d):
+    """Every link label, entities decoded; s8_link_labels is held to the labels its SQL can say."""
+    return readers.links(views.table(spark, d, "pages")).select("page_id", "label")
+
+
 @query("SELECT doc_id, round(median(length(line)), 4) AS median_length, max(length(line)) AS longest FROM lines GROUP BY 1", LINES)
 def a19_line_profile(spark, d):
     rows = chunks.lines(views.table(spark, d, "documents"))
