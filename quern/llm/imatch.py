@@ -3,7 +3,8 @@
 Terms are runs of letters and digits, lower-cased and named by a hash of ``TERM_BITS`` bits. The
 lexicon holds the terms whose inverse document frequency lies in BAND, counted over all documents. A
 document's lexicon terms are sorted; each randomised lexicon keeps a random part of them (1/8 down to
-1/512, RATES x REPEATS lexicons) and hashes what it kept. Unlike one hash of everything, some of the
+1/512, RATES x REPEATS lexicons) and hashes what it kept; one more keeps all of them, so that a short
+text of which the others keep nothing still has a fingerprint of its own. Unlike one hash of everything, some of the
 sparser lexicons survive an edit, so the share of equal hashes grades likeness.
 
 Size of the lexicon: a term in BAND is in at least e**-BAND[1] of the documents, so there are at most
@@ -59,6 +60,7 @@ def _prints(text: str) -> str:
             mask = ((1 << rate) - 1) << low
             low += rate
             hashes.append(f"transform(filter(d, x -> x.h{rep} & {mask}L = 0), x -> x.t)")
+    hashes.append("transform(d, x -> x.t)")  # keeps everything: empty for texts without terms only
     kept = f"transform(array({drawn}), d -> array({', '.join(hashes)}))[0]"
     return f"transform({kept}, k -> if(size(k) = 0, null, lower(right(hex(xxhash64(k)), 8))))"
 
