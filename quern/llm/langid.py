@@ -6,9 +6,9 @@ coordinate descent) tell families apart and, inside a family, each pair of langu
 then margins. A text's margin is the mean of the weights of its n-grams, so whole texts of any length
 are scored in one vectorised pass with a table of weights that is a constant size.
 
-Fitting uses at most about SAMPLE labelled documents of each language (chosen by a hash of doc_id);
-their features, not their texts, come to the driver. That bound is the only one: prediction reads every
-whole text.
+Fitting uses at most SAMPLE labelled documents of each language (the first by a hash of doc_id and text);
+their features, not their texts, come to the driver. That bound is the only one: every language is
+learned, and prediction reads every whole text.
 
 Defined results: null text or text without letters is ``und`` with score 0; with no labelled text every
 document is ``und``; with one language all others are it, with score 1; a null doc_id counts as in
@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ._common import table
@@ -197,12 +197,23 @@ def _features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 yield pd.DataFrame({"lang": [lang], "idx": [idx.astype(np.int32).tobytes()], "val": [(n / n.sum()).astype(np.float32).tobytes()]})
 
 
+def drawn(labelled: DataFrame, sample: int) -> DataFrame:
+    """lang and text of the ``sample`` rows of each language that come first by a hash of doc_id and text.
+
+    Rows are first thinned to about twice the sample by the same hash (so the ranking sees few), then ranked;
+    rows alike in doc_id and text count once.
+    """
+    mark = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 1)
+    marked = labelled.select("lang", "text", mark.alias("mark"))
+    per_lang = marked.groupBy("lang").agg(F.approx_count_distinct("mark").alias("n"))
+    thinned = marked.join(per_lang, "lang").where(F.col("mark") / float(1 << 63) <= F.lit(2.0 * sample + 100) / F.col("n"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("mark"))
+    return thinned.select("lang", "text", "mark").distinct().withColumn("rank", rank).where(F.col("rank") <= sample).select("lang", "text")
+
+
 def train(labelled: DataFrame, sample: int = SAMPLE) -> Model:
-    """Fit on about ``sample`` rows (doc_id, text, lang) of each language."""
-    per_lang = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    chance = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 30)) * F.col("n") < F.lit(sample << 30)
-    drawn = labelled.join(F.broadcast(per_lang.orderBy(F.desc("n"), "lang").limit(1000)), "lang").where(chance).select("lang", "text")
-    got = drawn.mapInPandas(_features, "lang string, idx binary, val binary").toPandas().sort_values(["lang", "idx", "val"])
+    """Fit on at most ``sample`` rows (doc_id, text, lang) of each language."""
+    got = drawn(labelled, sample).mapInPandas(_features, "lang string, idx binary, val binary").toPandas().sort_values(["lang", "idx", "val"])
     rows = [(np.frombuffer(i, np.int32), np.frombuffer(v, np.float32).astype(float)) for i, v in zip(got["idx"], got["val"], strict=True)]
     return Model(sorted(set(got["lang"]))).fit(list(got["lang"]), rows)
 
