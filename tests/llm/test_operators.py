@@ -310,7 +310,7 @@ def test_sharding_edges(spark, edges, empty):
 def test_rebalancing_moves_little_and_into_the_new_shard_only():
     rng = random.Random(1)
     totals = {s: rng.randint(1, 1000) for s in range(4096)}
-    old = sharding.first_map(totals, 4096, 8)
+    old = sharding.rebalanced(sharding.first_map(4096, 8), totals, 8, 0.0)
     new = sharding.rebalanced(old, totals, 9)
     moved = {s for s in old if old[s] != new[s]}
     assert {new[s] for s in moved} == {8} and sum(totals[s] for s in moved) <= sum(totals.values()) / 9
