@@ -1,9 +1,9 @@
 """SentencePiece encoding that keeps offsets, and decoding.
 
 ``Normalizer`` rewrites a text by longest prefix through the model's compiled character map (a double-array
-trie of replacements), escapes and prefixes spaces as the model asks, and records for every normalised
-byte the original byte range it came from. The pieces of the encoded text tile the normalised bytes,
-so cumulated piece lengths, looked up in that alignment, give each piece's original byte span. A piece
+trie of replacements; a model without one has the empty map), escapes and prefixes spaces as the model
+asks, and records for every normalised byte the original byte range it came from. Pieces are those of the
+normalised text, stretch by stretch, and tile its bytes, so cumulated piece lengths, looked up in that alignment, give each piece's original byte span. A piece
 sequence that does not tile the normalised text exactly raises an error, so the normaliser is checked
 against the library on every row.
 
@@ -30,99 +30,98 @@ from pyspark.sql import functions as F
 from ._common import table
 
 SPACE = "▁"
-STRETCH = re.compile(r" +[^ \n]*|\n[^ \n]*")
+STRETCH = re.compile(f"{SPACE}+[^{SPACE}\n]*|\n[^{SPACE}\n]*")
 #: Stretches that a worker remembers.
 MAX_WORDS = 500_000
 MODEL = "piece_bpe_32k.model"
 
 
 class CharsMap:
-    """The compiled map: a length, that many bytes of double-array units, then NUL-ended replacements."""
+    """The compiled map: a length, that many bytes of double-array units, then NUL-ended replacements. An empty one maps nothing."""
 
     def __init__(self, blob: bytes):
-        (size,) = struct.unpack_from("<I", blob)
-        self.units = np.frombuffer(blob, "<u4", size // 4, 4).tolist()
+        size = struct.unpack_from("<I", blob)[0] if blob else 0
+        self.units = np.frombuffer(blob, "<u4", size // 4, 4).tolist() if blob else []
         self.strings = blob[4 + size :]
+        begins = [c for c in range(256) if self._child(self._down(0), c) is not None] if self.units else []
+        self.begins = re.compile(b"[" + b"".join(b"\\x%02x" % c for c in begins) + b"]") if begins else None
+
+    def _down(self, node: int) -> int:
+        return node ^ (self.units[node] >> 10) << ((self.units[node] & 512) >> 6)
+
+    def _child(self, node: int, byte: int) -> int | None:
+        node ^= byte
+        return node if node < len(self.units) and (self.units[node] & 0x800000FF) == byte else None
 
     def longest(self, data: bytes, at: int) -> tuple[int, bytes] | None:
         """Length and replacement of the longest key that begins at ``at``."""
-        units, found = self.units, None
-        node = (units[0] >> 10) << ((units[0] & 512) >> 6)
+        node, found = self._down(0), None
         for k in range(at, len(data)):
-            node ^= data[k]
-            if node >= len(units) or (units[node] & 0x800000FF) != data[k]:
+            here = self._child(node, data[k])
+            if here is None:
                 break
-            unit = units[node]
-            node ^= (unit >> 10) << ((unit & 512) >> 6)
-            if unit >> 8 & 1:
-                found = k - at + 1, units[node] & 0x7FFFFFFF
+            node = self._down(here)
+            if self.units[here] >> 8 & 1:
+                found = k - at + 1, self.units[node] & 0x7FFFFFFF
         if found is None:
             return None
         return found[0], self.strings[found[1] : self.strings.index(b"\0", found[1])]
 
+    def hits(self, data: bytes) -> Iterator[tuple[int, int, bytes]]:
+        """Begin, end and replacement of each key met from left to right; only bytes that begin a key are looked at."""
+        at = 0
+        while self.begins and (m := self.begins.search(data, at)):
+            at = m.start()
+            hit = self.longest(data, at)
+            if hit:
+                yield at, at + hit[0], hit[1]
+                at += hit[0]
+            else:
+                at += 1
+
 
 class Normalizer:
-    """normalise(text) -> normalised bytes, begin and end of each one's source in the text's UTF-8 bytes."""
+    """normalise(text) -> normalised bytes, begin and end of each one's source in the text's UTF-8 bytes.
+
+    A byte that no key covers is its own source; all bytes of a replacement have the whole key as theirs.
+    """
 
     def __init__(self, charsmap: bytes = b"", dummy_prefix: bool = True, trim: bool = False, escape: bool = True):
-        self.map = CharsMap(charsmap) if charsmap else None
+        self.map = CharsMap(charsmap)
         self.dummy_prefix, self.trim = dummy_prefix, trim
         self.space = SPACE.encode() if escape else b" "
 
-    def __call__(self, text: str) -> tuple[bytes, np.ndarray, np.ndarray]:
-        data = text.encode()
-        if self.map is None and not self.trim:
-            return self._spaces_only(data)
-        return self._mapped(data)
+    def _mapped(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        raw, place = np.frombuffer(data, np.uint8), np.arange(len(data), dtype=np.int32)
+        parts, at = [], 0
+        for begin, end, new in self.map.hits(data):
+            parts.append((raw[at:begin], place[at:begin], place[at:begin] + 1))
+            parts.append((np.frombuffer(new, np.uint8), np.full(len(new), begin, np.int32), np.full(len(new), end, np.int32)))
+            at = end
+        parts.append((raw[at:], place[at:], place[at:] + 1))
+        return parts[0] if len(parts) == 1 else tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
-    def _spaces_only(self, data: bytes) -> tuple[bytes, np.ndarray, np.ndarray]:
-        if not data:
+    def __call__(self, text: str) -> tuple[bytes, np.ndarray, np.ndarray]:
+        raw, begin, end = self._mapped(text.encode())
+        blank = raw == 32
+        if self.trim and len(raw):  # leading, repeated and trailing spaces
+            keep = ~blank | np.append(False, ~blank[:-1])
+            last = np.flatnonzero(keep)[-1:]
+            keep[last] &= ~blank[last]
+            raw, begin, end, blank = raw[keep], begin[keep], end[keep], blank[keep]
+        if not len(raw):
             return b"", np.zeros(0, np.int32), np.zeros(0, np.int32)
-        raw = np.frombuffer(data, np.uint8)
-        times = np.where(raw == 32, len(self.space), 1)
-        begin = np.repeat(np.arange(len(raw), dtype=np.int32), times)
-        out, end = data.replace(b" ", self.space), begin + 1
+        out = raw.tobytes().replace(b" ", self.space)
+        times = np.where(blank, len(self.space), 1)
+        begin, end = np.repeat(begin, times), np.repeat(end, times)
         if self.dummy_prefix:
-            nothing = np.zeros(len(self.space), np.int32)
-            out, begin, end = self.space + out, np.concatenate([nothing, begin]), np.concatenate([nothing, end])
+            first = np.full(len(self.space), begin[0], np.int32)
+            out, begin, end = self.space + out, np.concatenate([first, begin]), np.concatenate([first, end])
         return out, begin, end
 
-    def _chunks(self, data: bytes) -> Iterator[tuple[bytes, int, int]]:
-        at = 0
-        while at < len(data):
-            hit = self.map.longest(data, at) if self.map else None
-            if hit:
-                size, new = hit
-            else:
-                size = 1 + (data[at] >= 0xC0) + (data[at] >= 0xE0) + (data[at] >= 0xF0)
-                new = data[at : at + size]
-            yield new, at, at + size
-            at += size
-
-    def _mapped(self, data: bytes) -> tuple[bytes, np.ndarray, np.ndarray]:
-        chars: list[tuple[int, int, int]] = []
-        for new, begin, end in self._chunks(data):
-            for c in new:
-                if self.trim and c == 32 and (not chars or chars[-1][0] == 32):
-                    continue  # leading and repeated spaces
-                chars.append((c, begin, end))
-        while self.trim and chars and chars[-1][0] == 32:
-            chars.pop()
-        out, begins, ends = bytearray(), [], []
-        if chars and self.dummy_prefix:
-            out += self.space
-            begins += [chars[0][1]] * len(self.space)
-            ends += [chars[0][1]] * len(self.space)
-        for c, begin, end in chars:
-            new = self.space if c == 32 else bytes([c])
-            out += new
-            begins += [begin] * len(new)
-            ends += [end] * len(new)
-        return bytes(out), np.array(begins, np.int32), np.array(ends, np.int32)
-
 
 class Words:
-    """Packed ids of stretches that begin at a space or a line break: what was asked for lately is remembered."""
+    """Packed ids of stretches of normalised text that begin at a space or a line break: what was asked for lately is remembered."""
 
     def __init__(self, model):
         self.model = model
@@ -135,9 +134,9 @@ class Words:
             self.known = {s: self.known[s] for s in stretches & self.known.keys()}
         new = list(stretches - self.known.keys())
         # the library puts a space in front: it stands for the stretch's own, or is dropped before a line break
-        ids = self.model.encode([s[1:] if s[0] == " " else s for s in new], num_threads=1) if new else []
+        ids = self.model.encode([s.removeprefix(SPACE).replace(SPACE, " ") for s in new], num_threads=1) if new else []
         for s, got in zip(new, ids, strict=True):
-            self.known[s] = self.space if s == " " else array("i", got if s[0] == " " else got[1:]).tobytes()
+            self.known[s] = self.space if s == SPACE else array("i", got if s[0] == SPACE else got[1:]).tobytes()
         return self.known
 
 
@@ -168,18 +167,17 @@ class Codec:
         self.words = Words(self.model)
         self.lengths = np.array([1 if p.type == kinds.BYTE else len(p.piece.encode()) for p in proto.pieces], np.int32)
 
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
+    def ids(self, texts: list[str], normal: list[bytes]) -> list[np.ndarray]:
         apart = [self.by_stretch and t != "" and SPACE not in t for t in texts]
-        stretches = [STRETCH.findall(" " + t) if a else [] for t, a in zip(texts, apart, strict=True)]
+        stretches = [STRETCH.findall(n.decode()) if a else [] for n, a in zip(normal, apart, strict=True)]
         known = self.words.learn(set().union(*stretches))
         return [
             np.frombuffer(b"".join([known[s] for s in parts]), np.int32) if a else np.array(self.model.encode(t), np.int32)
             for t, a, parts in zip(texts, apart, stretches, strict=True)
         ]
 
-    def spans(self, text: str, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Begin and end of each piece in the text's UTF-8 bytes."""
-        normal, begin, end = self.normalise(text)
+    def spans(self, ids: np.ndarray, normal: bytes, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Begin and end of each piece in the text's UTF-8 bytes: pieces tile the normalised text, which knows its sources."""
         lengths = self.lengths[ids]
         stops = np.cumsum(lengths)
         covered = int(stops[-1]) if len(stops) else 0
@@ -188,8 +186,9 @@ class Codec:
         return begin[stops - lengths], end[stops - 1]
 
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """ids, begins and ends for each text."""
-        return [(ids, *self.spans(t, ids)) for t, ids in zip(texts, self.ids(texts), strict=True)]
+        """ids, begins and ends for each text: normalised first, then cut into pieces, then projected back."""
+        normal = [self.normalise(t) for t in texts]
+        return [(ids, *self.spans(ids, *n)) for n, ids in zip(normal, self.ids(texts, [n[0] for n in normal]), strict=True)]
 
     def decode(self, ids: np.ndarray) -> str:
         return self.model.decode(ids.tolist())
@@ -235,7 +234,8 @@ def digests(encoded: DataFrame) -> DataFrame:
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(joined("ids"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
-        F.xxhash64("begins", "ends").alias("spans_hash"),
+        "begins",
+        "ends",
         F.coalesce(F.element_at(F.when(F.size("ends") > 0, F.col("ends")), -1), F.lit(0)).alias("bytes_covered"),
     )
 
