@@ -1,20 +1,25 @@
 """I-Match document fingerprints with randomised lexicons, in DataFrame functions only.
 
-Terms are runs of letters and digits, lower-cased and named by a hash of ``TERM_BITS`` bits. The
-lexicon holds the terms whose inverse document frequency lies in BAND, counted over all documents. A
-document's lexicon terms are sorted; each randomised lexicon keeps a random part of them (1/8 down to
-1/512, RATES x REPEATS lexicons) and hashes what it kept; one more keeps all of them, so that a short
-text of which the others keep nothing still has a fingerprint of its own. Unlike one hash of everything, some of the
-sparser lexicons survive an edit, so the share of equal hashes grades likeness.
+Terms are runs of letters and digits, lower-cased and named by a 64-bit hash. The lexicon holds the terms
+whose inverse document frequency lies in BAND, counted over all documents. A document's lexicon terms are
+sorted; each randomised lexicon keeps a random part of them (1/8 down to 1/512, RATES x REPEATS lexicons)
+and hashes what it kept; one more keeps all of them, so that a short text of which the others keep nothing
+still has a fingerprint of its own. Unlike one hash of everything, some of the sparser lexicons survive an
+edit, so the share of equal hashes grades likeness.
 
 Size of the lexicon: a term in BAND is in at least e**-BAND[1] of the documents, so there are at most
-(distinct terms per document) * e**BAND[1] of them however large the corpus is; as a bit set it always
-takes 2**TERM_BITS bits (128 KB), which a scalar subquery hands to every task. Texts cross the network
-once, to meet their neighbour in doc_id order.
+(distinct terms per document) * e**BAND[1] of them however large the corpus is. A scalar subquery hands them
+to every task as BUCKETS sorted arrays.
+
+A text is fingerprinted where it is read and crosses the network once, keyed by doc_id and a hash of the
+text; its neighbour gets its finished fingerprint and as many code points of its beginning as it needs. Who
+follows whom is found from keys and lengths alone: they are range-partitioned in descending order, and each
+partition's first row goes to the partition before.
 
 Defined results: null text is empty; a document without lexicon terms is fingerprinted by all its terms,
 one without terms by the empty set; null doc_ids come last in descending order; rows with equal doc_id
-follow in text order; one document alone is its own neighbour; an empty table gives no rows.
+follow in the order of a hash of their texts; one document alone is its own neighbour; an empty table gives
+no rows.
 """
 
 from __future__ import annotations
@@ -24,35 +29,33 @@ from pyspark.sql import functions as F
 
 from ._common import store, table
 
-TERM_BITS = 20
 #: Natural logarithms of N / df: terms in 3 % down to 0.1 % of the documents.
 BAND = (3.5, 6.9)
 RATES, REPEATS = range(3, 10), 3
-#: Documents of one stretch of doc_ids, and stretches of one group of stretches.
-STRETCH, GROUP_BITS = 256, 10
+#: Arrays that the lexicon is dealt into by the last bits of its terms (a power of two).
+BUCKETS = 1 << 14
+KEY = ["z", "i", "h"]
 
 
 def term_ids(text: Column) -> Column:
     words = F.array_distinct(F.split(F.lower(text), r"[^\p{L}\p{N}]+"))
-    return F.array_distinct(F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w).bitwiseAND((1 << TERM_BITS) - 1)))
+    return F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
 def lexicon(texts: DataFrame, band: tuple[float, float] = BAND) -> DataFrame:
-    """One row: ``words``, an array of 2**TERM_BITS / 64 longs whose bits are the lexicon."""
+    """One row: ``buckets``, BUCKETS arrays of terms."""
     df = texts.select(F.explode(term_ids(F.col("text"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     n = texts.agg(F.count(F.lit(1)).alias("n")).scalar()
-    idf = F.log(n / F.col("df"))
-    kept = df.where(idf.between(*band)).select(F.floor(F.col("term") / 64).alias("word"), F.expr("shiftleft(1L, cast(term % 64 as int))").alias("bit"))
-    words = kept.groupBy("word").agg(F.bit_or("bit").alias("bits"))
-    spark = texts.sparkSession
-    every = spark.range(0, (1 << TERM_BITS) // 64, 1, 8).withColumnRenamed("id", "word").join(words, "word", "left")
-    pairs = every.agg(F.array_sort(F.collect_list(F.struct("word", F.coalesce("bits", F.lit(0)).alias("bits")))).alias("pairs"))  # a constant number of rows
-    return pairs.select(F.transform("pairs", lambda p: p.bits).alias("words"))
-
-
-def _prints(text: str) -> str:
-    """SQL for the array of hashes of the term ids in array column ``text``; terms carry one hash per repeat."""
-    drawn = f"transform({text}, t -> struct(t, xxhash64(t, 0) as h0, xxhash64(t, 1) as h1, xxhash64(t, 2) as h2))"
+    kept = df.where(F.log(n / F.col("df")).between(*band)).groupBy(F.col("term").bitwiseAND(BUCKETS - 1).alias("bucket")).agg(F.array_sort(F.collect_list("term")).alias("terms"))
+    every = texts.sparkSession.range(0, BUCKETS, 1, 8).withColumnRenamed("id", "bucket").join(kept, "bucket", "left")
+    dealt = every.agg(F.array_sort(F.collect_list(F.struct("bucket", F.coalesce("terms", F.expr("cast(array() as array<bigint>)")).alias("terms")))).alias("dealt"))
+    return dealt.select(F.transform("dealt", lambda d: d.terms).alias("buckets"))
+
+
+def prints(ids: str) -> Column:
+    """One hash (int; null where nothing is kept) for each lexicon, from the column ``ids`` of term ids; ``lex`` holds the lexicon."""
+    inside = f"transform(array(filter({ids}, t -> array_contains(lex[int(t & {BUCKETS - 1})], t))), k -> array_sort(if(size(k) = 0, {ids}, k)))[0]"
+    drawn = f"transform({inside}, t -> struct(t, xxhash64(t, 0) as h0, xxhash64(t, 1) as h1, xxhash64(t, 2) as h2))"
     hashes = []
     for rep in range(REPEATS):
         low = 0
@@ -62,51 +65,40 @@ def _prints(text: str) -> str:
             hashes.append(f"transform(filter(d, x -> x.h{rep} & {mask}L = 0), x -> x.t)")
     hashes.append("transform(d, x -> x.t)")  # keeps everything: empty for texts without terms only
     kept = f"transform(array({drawn}), d -> array({', '.join(hashes)}))[0]"
-    return f"transform({kept}, k -> if(size(k) = 0, null, lower(right(hex(xxhash64(k)), 8))))"
-
-
-def with_neighbour(docs: DataFrame) -> DataFrame:
-    """doc_id, text, next_text: the text of the next row in descending (doc_id, then text) order; the first after the last.
-
-    doc_ids are cut into stretches of about STRETCH rows. Rows look at the next in their stretch; each
-    stretch also gets, as a guest at its end, the first row of the stretch below. Stretches find each
-    other in groups of 2**GROUP_BITS, so the one unpartitioned window sees a row for each group only.
-    """
-    low, high, n = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count("doc_id")).first()
-    width = max(1, (int(high) - int(low) + 1) * STRETCH // n) if n else 1
-    at = F.coalesce(F.floor((F.col("doc_id").cast("decimal(20,0)") - F.lit(low or 0)) / F.lit(width)).cast("long"), F.lit(-1))
-    rows = docs.withColumn("stretch", at)
-    firsts = rows.groupBy("stretch").agg(F.max("doc_id").alias("doc_id")).withColumn("group", F.shiftright("stretch", GROUP_BITS))
-    groups = firsts.groupBy("group").agg(F.min("stretch").alias("lowest"))
-    order = Window.orderBy(F.desc("group"))
-    lowest = F.min("lowest").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    groups = groups.select("group", F.coalesce(F.lag("lowest").over(order), lowest).alias("above_group"))
-    above = F.lag("stretch").over(Window.partitionBy("group").orderBy(F.desc("stretch")))
-    firsts = firsts.withColumn("above", above).join(groups, "group").select(F.col("stretch").alias("of"), F.col("doc_id").alias("first_id"), F.coalesce("above", "above_group").alias("above"))
-    heads = rows.join(firsts, (F.col("stretch") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("first_id"))).select("of", "above", "doc_id", "text")
-    heads = heads.withColumn("k", F.row_number().over(Window.partitionBy("of").orderBy("text"))).where("k = 1")
-    guests = heads.select("doc_id", "text", F.col("above").alias("stretch"), F.lit(True).alias("guest"))
-    both = rows.withColumn("guest", F.lit(False)).unionByName(guests)
-    following = F.lead("text").over(Window.partitionBy("stretch").orderBy("guest", F.desc_nulls_last("doc_id"), "text"))
-    return both.withColumn("next_text", following).where("not guest").drop("guest", "stretch")
+    return F.expr(f"transform({kept}, k -> if(size(k) = 0, cast(null as int), cast(shiftright(xxhash64(k), 32) as int)))")
+
+
+def following(texts: DataFrame) -> DataFrame:
+    """z, i, h, n_chars, copies of each distinct row of ``texts`` (z, i, h, text), and next: the key (z, i, h) of the one that follows it."""
+    rows = texts.groupBy(*KEY).agg(F.count(F.lit(1)).alias("copies"), F.max(F.length("text")).cast("long").alias("n_chars"))
+    rows = store(rows.repartitionByRange("z", F.desc("i"), "h").withColumn("part", F.spark_partition_id()), "order")
+    firsts = rows.groupBy("part").agg(F.min_by(F.struct(*KEY), F.struct("z", F.bitwise_not("i"), "h")).alias("first"))
+    parts = Window.orderBy("part")  # a row for each partition
+    everywhere = parts.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    after = firsts.select("part", F.coalesce(F.lead("first").over(parts), F.first("first").over(everywhere)).alias("after"))
+    lead = F.lead(F.struct(*KEY)).over(Window.partitionBy("part").orderBy("z", F.desc("i"), "h"))
+    return rows.withColumn("next", lead).join(F.broadcast(after), "part").withColumn("next", F.coalesce("next", "after")).drop("part", "after")
 
 
 def fingerprints(docs: DataFrame, band: tuple[float, float] = BAND) -> DataFrame:
-    """One row per document: text lengths, fingerprints of the text, its edited form and the next text, and likenesses."""
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    """One row per document: doc_id, n_chars, edited_sha256, and the prints text_fp, edited_fp and next_fp."""
+    texts = docs.select(F.col("doc_id").isNull().alias("z"), F.coalesce("doc_id", F.lit(0)).cast("long").alias("i"), F.coalesce("text", F.lit("")).alias("text"))
+    texts = texts.withColumn("h", F.xxhash64("text"))
     words = store(lexicon(texts, band), "lexicon").scalar()
-    rows = with_neighbour(texts).withColumn("n_chars", F.length("text").cast("long"))
-    rows = rows.withColumn("edited", F.expr("concat(left(text, int(n_chars - floor(n_chars / 3))), left(next_text, int(floor(n_chars / 3))))"))
-    rows = rows.withColumn("edited_sha256", F.sha2("edited", 256))
-    for name in ("text", "edited", "next_text"):
-        rows = rows.withColumn(f"{name}_ids", term_ids(F.col(name)))
-    rows = rows.drop("edited", "text", "next_text").withColumn("lex", words)
-    for name in ("text", "edited", "next_text"):
-        inside = f"filter({name}_ids, t -> shiftright(lex[int(shiftright(t, 6))], int(t & 63)) & 1 = 1)"
-        rows = rows.withColumn(f"{name}_in", F.expr(inside))
-        rows = rows.withColumn(f"{name}_in", F.expr(f"array_sort(if(size({name}_in) = 0, {name}_ids, {name}_in))"))
-        rows = rows.withColumn(f"{name}_fp", F.expr(_prints(f"{name}_in")))
-    return rows
+    order = store(following(texts), "following")
+    own = texts.withColumn("lex", words).withColumn("ids", term_ids(F.col("text"))).withColumn("text_fp", prints("ids")).select(*KEY, "text", "text_fp")
+    own = own.repartition(*KEY).withColumn("copy", F.row_number().over(Window.partitionBy(*KEY).orderBy("text")))
+    # what a document's predecessor needs of it; both reads of ``own`` share one exchange
+    asked = order.select(*[F.col(f"next.{c}").alias(c) for c in KEY], F.struct(*KEY).alias("for"), F.floor(F.col("n_chars") / 3).cast("int").alias("third"))
+    sent = own.join(asked.hint("merge"), KEY).where(F.least("copy", F.lit(2)) == 1)
+    sent = sent.select(*[F.col(f"for.{c}").alias(c) for c in KEY], F.expr("left(text, third)").alias("head"), F.col("text_fp").alias("next_fp"))
+    rows = own.join(sent.hint("merge"), KEY).join(order.select(*KEY, "copies", "n_chars").hint("merge"), KEY)
+    third = "int(floor(n_chars / 3))"
+    # all but the last of several rows alike are followed by the same text
+    rows = rows.withColumn("edited", F.expr(f"concat(left(text, int(n_chars) - {third}), if(copy < copies, left(text, {third}), head))"))
+    rows = rows.withColumn("next_fp", F.when(F.col("copy") < F.col("copies"), F.col("text_fp")).otherwise(F.col("next_fp")))
+    rows = rows.withColumn("edited_sha256", F.sha2("edited", 256)).withColumn("edited_ids", term_ids(F.col("edited"))).withColumn("lex", words).withColumn("edited_fp", prints("edited_ids"))
+    return rows.select(F.when(~F.col("z"), F.col("i")).alias("doc_id"), "n_chars", "edited_sha256", "text_fp", "edited_fp", "next_fp")
 
 
 def likeness(a: str, b: str) -> Column:
@@ -117,14 +109,14 @@ def likeness(a: str, b: str) -> Column:
 
 
 def shown(name: str) -> Column:
-    return F.array_join(name, ".", "-")
+    return F.array_join(F.transform(name, lambda x: F.lower(F.lpad(F.right(F.hex(x.cast("long")), F.lit(8)), 8, "0"))), ".", "-")
 
 
 def op4_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fingerprints(table(spark, sf_dir, "documents"))
     return rows.select(
         "doc_id", "n_chars", "edited_sha256", shown("text_fp").alias("fingerprint"), shown("edited_fp").alias("edited_fingerprint"),
-        likeness("text_fp", "edited_fp").alias("near_edited"), likeness("text_fp", "next_text_fp").alias("near_next"),
+        likeness("text_fp", "edited_fp").alias("near_edited"), likeness("text_fp", "next_fp").alias("near_next"),
     )
 
 

@@ -194,15 +194,71 @@ def test_imatch_edited_texts_and_equal_texts(spark, edges, empty):
 
 
 def test_imatch_single_document_is_its_own_neighbour(spark):
-    r = imatch.with_neighbour(spark.createDataFrame([(5, "alone")], "doc_id long, text string")).first()
-    assert (r.text, r.next_text) == ("alone", "alone")
+    r = imatch.fingerprints(spark.createDataFrame([(5, "alone and long enough")], "doc_id long, text string")).first()
+    assert r.edited_sha256 == hashlib.sha256(b"alone and longalone a").hexdigest() and r.next_fp == r.text_fp
 
 
-def test_imatch_neighbours_across_stretches(spark):
-    ids = [k * k * 7 for k in range(3000)]
-    df = spark.createDataFrame([(i, f"t{i}") for i in ids], "doc_id long, text string")
-    got = {r.doc_id: r.next_text for r in imatch.with_neighbour(df).collect()}
-    assert got == {i: f"t{ids[k - 1]}" for k, i in enumerate(ids)}
+def brute_edited(rows):
+    """Edited texts by (doc_id, text) of rows in the order of the operator."""
+    out = defaultdict(list)
+    for k, (doc, text) in enumerate(rows):
+        third = len(text) // 3
+        out[doc].append(hashlib.sha256((text[: len(text) - third] + rows[(k + 1) % len(rows)][1][:third]).encode()).hexdigest())
+    return {d: sorted(x) for d, x in out.items()}
+
+
+def test_imatch_neighbours_of_far_null_and_repeated_ids(spark):
+    rows = [(k * k * 7, f"text number {k} of many") for k in range(3000)] + [(10**15, "far away text"), (-(2**63), "least of all ids"), (2**63 - 1, "largest of all ids")]
+    rows += [(None, f"text without id {k}") for k in range(1500)] + [(49, "text number 7 of many")] * 40
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    h = {(r.doc_id, r.text): r.h for r in df.select("*", F.xxhash64("text").alias("h")).collect()}
+    wanted = brute_edited(sorted(((d, t) for d, t in rows), key=lambda r: (r[0] is None, -(r[0] or 0), h[r])))
+    got = defaultdict(list)
+    for r in imatch.fingerprints(df).collect():
+        got[r.doc_id].append(r.edited_sha256)
+    assert {d: sorted(x) for d, x in got.items()} == wanted
+
+
+def test_imatch_prints_and_likeness_equal_brute_force(spark):
+    """Lexicon, selected terms, the terms each randomised lexicon keeps, and likenesses, computed plainly; only Spark's xxhash64 is borrowed."""
+    import math
+
+    rng = random.Random(5)
+    rows = [(k, " ".join(rng.choices([f"w{j}" for j in range(300)], k=rng.choice([0, 2, 8, 40])))) for k in range(400)]
+    band = (1.0, 5.0)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in imatch.fingerprints(df, band).withColumn("near", imatch.likeness("text_fp", "next_fp")).withColumn("like", imatch.likeness("text_fp", "edited_fp")).collect()}
+    cut = {d: len(t) // 3 for d, t in rows}
+    texts = {(d, "own"): t for d, t in rows} | {(d, "edited"): t[: len(t) - cut[d]] + rows[d - 1][1][: cut[d]] for d, t in rows}
+    words = {w for t in texts.values() for w in t.split()}
+    hashed = {r.w: r for r in spark.createDataFrame([(w,) for w in words], "w string").selectExpr("w", "xxhash64(w) t", *[f"xxhash64(xxhash64(w), {k}) h{k}" for k in range(3)]).collect()}
+    freq = defaultdict(int)
+    for _, t in rows:
+        for w in set(t.split()):
+            freq[w] += 1
+    lex = {w for w, n in freq.items() if band[0] <= math.log(len(rows) / n) <= band[1]}
+    kept = {}
+    for key, t in texts.items():
+        chosen = sorted((hashed[w] for w in (set(t.split()) & lex or set(t.split()))), key=lambda r: r.t)
+        lists = []
+        for rep in range(imatch.REPEATS):
+            low = 0
+            for rate in imatch.RATES:
+                lists.append(tuple(r.t for r in chosen if r[f"h{rep}"] >> low & ((1 << rate) - 1) == 0))
+                low += rate
+        kept[key] = [*lists, tuple(r.t for r in chosen)]
+    lists = sorted({x for ks in kept.values() for x in ks if x})
+    hash_of = {tuple(r.k): r.h for r in spark.createDataFrame([(list(x),) for x in lists], "k array<long>").selectExpr("k", "int(shiftright(xxhash64(k), 32)) h").collect()}
+    fp = {key: [hash_of.get(x) for x in ks] for key, ks in kept.items()}
+
+    def like(a, b):
+        both = [(x, y) for x, y in zip(a, b, strict=True) if x is not None or y is not None]
+        return sum(x == y for x, y in both) / len(both) if both else 1.0
+
+    for d, _ in rows:
+        r, own, edited, after = got[d], fp[d, "own"], fp[d, "edited"], fp[rows[d - 1][0], "own"]
+        assert (list(r.text_fp), list(r.edited_fp), list(r.next_fp)) == (own, edited, after)
+        assert r.like == pytest.approx(like(own, edited)) and r.near == pytest.approx(like(own, after))
 
 
 def test_imatch_tells_edits_from_strangers(spark, sf):
