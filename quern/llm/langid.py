@@ -25,10 +25,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._common import table
+from ._common import store, table
 
 SLOTS = 1 << 15
 SAMPLE = 400
+#: Counts of up to so many languages are broadcast.
+FEW_LANGS = 10_000
 #: Language families by ISO 639-1 code. A language not listed is a family of its own.
 FAMILIES = {
     "germanic": "en de nl da sv no nb nn is af lb fy".split(),
@@ -205,8 +207,8 @@ def drawn(labelled: DataFrame, sample: int) -> DataFrame:
     """
     mark = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 1)
     marked = labelled.select("lang", "text", mark.alias("mark"))
-    per_lang = marked.groupBy("lang").agg(F.approx_count_distinct("mark").alias("n"))
-    thinned = marked.join(per_lang, "lang").where(F.col("mark") / float(1 << 63) <= F.lit(2.0 * sample + 100) / F.col("n"))
+    per_lang = store(marked.groupBy("lang").agg(F.approx_count_distinct("mark").alias("n")), "langs")
+    thinned = marked.join(F.broadcast(per_lang) if per_lang.count() <= FEW_LANGS else per_lang, "lang").where(F.col("mark") / float(1 << 63) <= F.lit(2.0 * sample + 100) / F.col("n"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("mark"))
     return thinned.select("lang", "text", "mark").distinct().withColumn("rank", rank).where(F.col("rank") <= sample).select("lang", "text")
 
