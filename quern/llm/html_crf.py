@@ -3,12 +3,14 @@
 A page is cut into leaf blocks (runs of text between block-level tags, each with its open ancestors).
 Features name ancestor tags, what ancestors' class and id words hint at, and the shape of the text
 (length, share of link text, sentence ends). The field has two labels, article and rest, and is trained
-by maximum likelihood (forward-backward, Adam) on labelled pages: at most about SAMPLE pages of the
-table, labelled where their own elements say what they are, and as many pages laid out anew from the
-same texts in LAYOUTS, whose labels are known. Viterbi decodes every page.
+by maximum likelihood (forward-backward, Adam) on labelled pages. The table has no labels, so training
+pages are made: block texts of SAMPLE pages are laid out anew in LAYOUTS, under names that the hint words
+know or under made-up ones, and each block's label is the part of the page it was put in - never what a
+tag or hint says. Viterbi decodes every page.
 
-Training sees a bounded sample only (its bound is a parameter); every page is parsed whole, in place, in
-the task that reads it: nothing is shuffled.
+Training sees a bounded sample only (SAMPLE pages, TEXTS of their blocks, both parameters); every page is
+parsed whole, in place, in the task that reads it: nothing is shuffled. An open element carries what its
+ancestors say, so parsing takes time and memory in proportion to the page however deep it nests.
 
 Defined results: null or empty html, or a page without article blocks, gives the empty text; broken
 markup is read leniently (unclosed elements end with their parent, a stray ``<`` is text); repeated
@@ -21,6 +23,7 @@ import functools
 import html
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,9 +32,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import table
+from ._common import store, table
 
-SAMPLE = 200
+SAMPLE, TEXTS = 200, 4000
 
 #: Elements by how they are read.
 RAW = set("script style noscript template svg math iframe object canvas audio video select textarea head title".split())
@@ -64,29 +67,60 @@ _WORD = re.compile(r"[a-z]+")
 _DIGIT = re.compile(r"[0-9]")
 
 
+_TAGS = "article main section aside nav header footer form table ul ol figure blockquote pre li p h1 h2 h3 h4 h5 h6 td dd dt figcaption address dialog".split()
+_SHAPES = [f"words{k}" for k in range(5)] + [f"link{k}" for k in range(4)] + "sentence copyright many_digits first last bias inner_rest inner_article no_hint".split()
+FEATURES = {name: k for k, name in enumerate([f"in_{t}" for t in _TAGS] + [f"own_{t}" for t in _TAGS] + [f"hint_{h}" for h in HINTS] + _SHAPES)}
+REST_TAGS = {"nav", "header", "footer", "aside", "form", "dialog"}
+
+
 @dataclass
 class Block:
-    """A leaf block: its text, link characters, own tag and its ancestors as (tag, hints)."""
+    """A leaf block: its text, link characters, own tag, and what its ancestors say (a bit for each feature)."""
 
     text: str
     link_chars: int
     tag: str
-    path: tuple[tuple[str, frozenset[str]], ...]
+    said: int
+
+
+@dataclass
+class Open:
+    """An open element and what it and its ancestors say; the innermost that says anything decides article or rest."""
+
+    tag: str
+    said: int
+
+
+_INNER = (1 << FEATURES["inner_rest"]) | (1 << FEATURES["inner_article"]) | (1 << FEATURES["no_hint"])
+_NOTHING = 1 << FEATURES["bias"] | 1 << FEATURES["no_hint"]
+
+
+def opened(tag: str, words: set[str], above: int) -> Open:
+    hints = {HINT_OF[w] for w in words if w in HINT_OF}
+    said = above
+    for name in [f"in_{tag}"] * (tag in _TAGS) + [f"hint_{h}" for h in hints]:
+        said |= 1 << FEATURES[name]
+    rest = tag in REST_TAGS or hints - {"article"}
+    if rest or tag in ("article", "main") or hints:
+        said = said & ~_INNER | 1 << FEATURES["inner_rest" if rest else "inner_article"]
+    return Open(tag, said)
 
 
 def blocks(page: str) -> list[Block]:
     """Leaf blocks in page order."""
     out: list[Block] = []
-    stack: list[tuple[str, frozenset[str]]] = []
+    stack: list[Open] = []
+    n_open: Counter[str] = Counter()
+    endless: set[str] = set()
     texts: list[str] = []
-    links, in_link, at = 0, 0, 0
+    links, in_link, at, last = 0, 0, 0, page.rfind(">") + 1  # no tag ends after the last >
 
     def flush():
         nonlocal links
         if texts:
             text = " ".join("".join(texts).split())
             if text:
-                out.append(Block(text, min(links, len(text)), next((t for t, _ in reversed(stack)), "html"), tuple(stack)))
+                out.append(Block(text, min(links, len(text)), stack[-1].tag if stack else "html", stack[-1].said if stack else _NOTHING))
             texts.clear()
         links = 0
 
@@ -97,19 +131,29 @@ def blocks(page: str) -> list[Block]:
         if in_link:
             links += len(text.strip())
 
-    while (m := _TOKEN.search(page, at)) is not None:
+    def close(down_to: int):
+        while len(stack) > down_to:
+            n_open[stack.pop().tag] -= 1
+
+    while (m := _TOKEN.search(page, at, last)) is not None:
         if m.start() > at:
             add(page[at : m.start()])
         at, tag = m.end(), m[0]
         if tag[1] in "!?":
+            if tag.startswith("<!--") and not tag.endswith("-->"):
+                at = len(page)
             continue
         name = _NAME.match(tag)[1].lower()
         closing = tag[1] == "/"
         if name in RAW and not closing:
-            if name == "head":  # ends with its end tag or where the body begins
+            if tag.endswith("/>") or name in endless:
+                end = None
+            elif name == "head":  # ends with its end tag or where the body begins
                 end = re.compile(r"</head\s*>|(?=<body\b)", re.I).search(page, at)
             else:
-                end = re.compile(rf"</{name}\s*>", re.I).search(page, at) if not tag.endswith("/>") else None
+                end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
+            if end is None and not tag.endswith("/>"):
+                endless.add(name)
             if name in ("svg", "math", "object", "audio", "video", "canvas", "iframe", "select", "head") and end is None:
                 continue  # without an end they hide nothing
             if not tag.endswith("/>"):
@@ -123,53 +167,37 @@ def blocks(page: str) -> list[Block]:
             flush()
             in_link = 0
             if closing:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == name:
-                        del stack[k:]
-                        break
+                if n_open[name]:
+                    close(next(k for k in range(len(stack) - 1, -1, -1) if stack[k].tag == name))
             elif name not in VOID:
-                if name in ENDS_P and stack and stack[-1][0] == "p":
-                    stack.pop()
+                if name in ENDS_P and stack and stack[-1].tag == "p":
+                    close(len(stack) - 1)
                 ends = CLOSES.get(name)
-                if ends:
+                if ends and any(n_open[e] for e in ends):
                     for k in range(len(stack) - 1, -1, -1):
-                        if stack[k][0] in ends:
-                            del stack[k:]
+                        if stack[k].tag in ends:
+                            close(k)
                             break
-                        if stack[k][0] in ("ul", "ol", "dl", "table"):
+                        if stack[k].tag in ("ul", "ol", "dl", "table"):
                             break
                 words = {w for a in _ATTR.finditer(tag) for w in _WORD.findall((a[1] or a[2] or a[3] or "").lower())}
-                stack.append((name, frozenset(HINT_OF[w] for w in words if w in HINT_OF)))
-    if at < len(page):
-        add(page[at:])
+                stack.append(opened(name, words, stack[-1].said if stack else _NOTHING))
+                n_open[name] += 1
+    rest = page[at:].partition("<!--")[0]
+    if rest:
+        add(rest)
     flush()
     return out
 
 
-_TAGS = "article main section aside nav header footer form table ul ol figure blockquote pre li p h1 h2 h3 h4 h5 h6 td dd dt figcaption address dialog".split()
-_SHAPES = [f"words{k}" for k in range(5)] + [f"link{k}" for k in range(4)] + "sentence copyright many_digits first last bias inner_rest inner_article no_hint".split()
-FEATURES = {name: k for k, name in enumerate([f"in_{t}" for t in _TAGS] + [f"own_{t}" for t in _TAGS] + [f"hint_{h}" for h in HINTS] + _SHAPES)}
-REST_TAGS = {"nav", "header", "footer", "aside", "form", "dialog"}
-
-
 @functools.lru_cache(maxsize=10_000)
-def path_features(tag: str, path: tuple[tuple[str, frozenset[str]], ...]) -> list[int]:
-    names = {f"in_{t}" for t, _ in path if t in _TAGS} | {f"hint_{h}" for _, hints in path for h in hints} | {"bias"}
-    if tag in _TAGS:
-        names.add(f"own_{tag}")
-    # the innermost ancestor that says anything decides between an article in a page body and a box in an article
-    for t, hints in reversed(path):
-        rest = t in REST_TAGS or hints - {"article"}
-        if rest or t in ("article", "main") or "article" in hints:
-            names.add("inner_rest" if rest else "inner_article")
-            break
-    else:
-        names.add("no_hint")
-    return sorted(FEATURES[n] for n in names)
+def path_features(tag: str, said: int) -> list[int]:
+    own = [FEATURES[f"own_{tag}"]] if tag in _TAGS else []
+    return own + [k for k in range(said.bit_length()) if said >> k & 1]
 
 
 def features(block: Block, place: int, total: int) -> list[int]:
-    row = list(path_features(block.tag, block.path))
+    row = list(path_features(block.tag, block.said))
     words = block.text.count(" ") + 1
     row.append(FEATURES["words0"] + (words > 2) + (words > 6) + (words > 15) + (words > 40))
     share = block.link_chars / len(block.text)
@@ -280,12 +308,18 @@ def wrapped(spec: str, inner: str) -> str:
     return "".join(f"<{p}>" for p in parts) + inner + "".join(f"</{p.split()[0]}>" for p in reversed(parts))
 
 
-def laid_out(rng: random.Random, long: list[str], short: list[str]) -> tuple[str, list[int]]:
-    """A page in a random layout and the label of each of its blocks."""
+def laid_out(rng: random.Random, long: list[str], short: list[str], layouts: dict[str, list[str]] = LAYOUTS, made_up: float = 0.15) -> tuple[str, list[int]]:
+    """A page in a random layout and the label of each of its blocks; a share of the names is made up and hints at nothing."""
     parts: list[tuple[str, list[int]]] = []
 
+    def spec_of(kind: str) -> str:
+        spec = rng.choice(layouts[kind])
+        if rng.random() < made_up:
+            spec = re.sub(r'"[^"]*"', lambda _: f'"x{rng.randrange(10**6)}"', spec)
+        return spec
+
     def rest(kind: str) -> tuple[str, list[int]]:
-        spec = rng.choice(LAYOUTS[kind])
+        spec = spec_of(kind)
         if kind == "menu":
             n = rng.randint(2, 7)
             items = [f'<a href="#">{rng.choice(short)}</a>' for _ in range(n)]
@@ -294,10 +328,11 @@ def laid_out(rng: random.Random, long: list[str], short: list[str]) -> tuple[str
         n = 1 if spec.startswith("p ") else rng.randint(1, 3)
         return wrapped(spec, f"&copy; {text}" * (kind == "footer") + "".join(f"<p>{rng.choice([text, *short, *long])}</p>" for _ in range(n)) if not spec.startswith("p ") else text), [0] * (n + (kind == "footer") * (not spec.startswith("p ")))
 
+    often = rng.choice((0.0, 0.3, 0.6))
     for kind in ("notice", "header", "menu", "advert", "side"):
-        if rng.random() < 0.45:
+        if rng.random() < often:
             parts.append(rest(kind))
-    body, labels = f"<h1>{rng.choice(long)}</h1>", [1]
+    body, labels = (f"<h1>{rng.choice(long)}</h1>", [1]) if rng.random() < 0.7 else ("", [])
     if rng.random() < 0.3:
         extra, marks = rest("share")
         body, labels = body + extra, labels + marks
@@ -313,35 +348,20 @@ def laid_out(rng: random.Random, long: list[str], short: list[str]) -> tuple[str
         else:
             extra, marks = rest(rng.choice(["advert", "side", "share", "notice", "comment", "form"]))
             body, labels = body + extra, labels + marks
-    parts.append((wrapped(rng.choice(LAYOUTS["article"]), body), labels))
+    parts.append((wrapped(spec_of("article"), body), labels))
+    often = rng.choice((0.0, 0.3, 0.6))
     for kind in ("comment", "side", "form", "share", "advert", "footer"):
-        if rng.random() < 0.45:
+        if rng.random() < often:
             parts.append(rest(kind))
     return f"<html><body>{''.join(p for p, _ in parts)}</body></html>", [x for _, marks in parts for x in marks]
 
 
-def own_labels(found: list[Block]) -> list[int] | None:
-    """Labels of a page whose elements say what they are: an article element, and nothing outside it unnamed."""
-    labels = []
-    for b in found:
-        inner = next((0 if t in REST_TAGS or h - {"article"} else 1 for t, h in reversed(b.path) if t in REST_TAGS | {"article"} or h - {"article"}), None)
-        if inner is None:
-            return None
-        labels.append(inner)
-    return labels if 1 in labels else None
-
-
-def train(pages: list[str], layouts: int = 300) -> Field:
-    """The field for a sample of pages: those that label themselves, and their texts laid out anew."""
+def train(texts: list[str], layouts: int = 500) -> Field:
+    """The field for block texts of the table, laid out anew ``layouts`` times."""
     rng = random.Random(7)
-    labelled, long, short = [], [], []
-    for page in pages:
-        found = blocks(page)
-        for b in found:
-            if len(b.text) < 5000:
-                (long if b.text.count(" ") > 5 else short).append(html.escape(b.text, False))
-        if len(found) <= 500 and (labels := own_labels(found)) is not None:
-            labelled.append((page_features(found), labels))
+    long = [html.escape(t, False) for t in texts if t.count(" ") > 5]
+    short = [html.escape(t, False) for t in texts if t.count(" ") <= 5]
+    labelled = []
     if long and short:
         for _ in range(layouts):
             page, labels = laid_out(rng, long, short)
@@ -356,12 +376,22 @@ def main_text(page: str, field: Field) -> str:
     return "\n\n".join(b.text for b, label in zip(found, field.viterbi(page_features(found)), strict=True) if label)
 
 
-def sample_pages(pages: DataFrame, sample: int = SAMPLE) -> list[str]:
-    """About ``sample`` pages, chosen by a hash; very large ones stay out of the sample."""
-    n = pages.count()
-    chance = F.pmod(F.xxhash64("page_id", "url"), F.lit(1 << 30)) * F.lit(max(1, n)) < F.lit(sample << 30)
-    rows = pages.where(chance & (F.length("html") < 200_000)).select("page_id", "url", "html").orderBy("page_id", "url").limit(2 * sample)
-    return [r.html for r in rows.collect()]
+def _block_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for page in batch.column("html").to_pylist():
+            yield pa.RecordBatch.from_arrays([pa.array([b.text for b in blocks(page or "")], pa.string())], ["text"])
+
+
+def first_by_hash(df: DataFrame, n: int) -> DataFrame:
+    """The ``n`` rows of ``df`` that come first by a hash of the whole row; thinned to about twice as many before they are sorted."""
+    mark = F.shiftrightunsigned(F.xxhash64(*df.columns, F.lit(23)), 1)
+    return df.withColumn("mark", mark).where(F.col("mark") / float(1 << 63) <= (2.0 * n + 100) / max(1, df.count())).orderBy("mark", *df.columns).limit(n).drop("mark")
+
+
+def sample_texts(pages: DataFrame, sample: int = SAMPLE, texts: int = TEXTS) -> list[str]:
+    """At most ``texts`` block texts of ``sample`` pages."""
+    drawn = first_by_hash(pages.select("page_id", "url", "html"), sample).select("html").mapInArrow(_block_texts, "text string").distinct()
+    return [r.text for r in first_by_hash(store(drawn, "block-texts"), texts).collect()]
 
 
 def extract(pages: DataFrame, field: Field) -> DataFrame:
@@ -381,7 +411,7 @@ def extract(pages: DataFrame, field: Field) -> DataFrame:
 
 def op2_block_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
-    found = extract(pages, train(sample_pages(pages)))
+    found = extract(pages, train(sample_texts(pages)))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 

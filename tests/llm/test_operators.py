@@ -82,19 +82,38 @@ def test_html_articles_are_whole(spark, sf):
         assert r.text == brute_article(pages[r.page_id]) and r.n_chars == len(r.text)
 
 
-def test_html_other_layouts(spark, sf):
-    pages = [r.html for r in table(spark, sf, "pages").limit(150).collect()]
-    field = html_crf.train(pages)
+#: Layouts that training never sees, some of whose names hint at nothing.
+UNSEEN = {
+    "article": ['div class="rich_text"', 'section id="story-column"', 'div class="c-xyz"|article', 'div class="postcontent prose"', 'div role="main"|div'],
+    "menu": ['div id="topnav"|nav|ul', 'ul class="tabs"', 'div class="zz9"|ul'], "header": ['div class="brand top"', 'div id="page-logo"'], "footer": ['div class="legal"', 'div class="q1"|footer'],
+    "side": ['div class="rail"', 'div class="more popular"'], "advert": ['div class="ads"', 'section class="sponsor"'], "notice": ['div class="gdpr"', 'div class="toast alert"'],
+    "form": ['div class="signup"|form', 'form class="contact"'], "comment": ['div class="replies"', 'ul class="thread"|li', 'section id="discussion"'], "share": ['div class="follow"', 'div class="toolbar"'],
+}
+
+
+def test_html_unseen_layouts(spark, sf):
+    texts = html_crf.sample_texts(table(spark, sf, "pages"))
+    train, held = texts[::2], [html.escape(t, False) for t in texts[1::2]]
+    field = html_crf.train(train)
     rng = random.Random(5)
-    long = [b.text for p in pages for b in html_crf.blocks(p) if b.text.count(" ") > 8][:300]
-    short = [b.text for p in pages for b in html_crf.blocks(p) if b.text.count(" ") < 3][:100]
+    long, short = [t for t in held if t.count(" ") > 5], [t for t in held if t.count(" ") <= 5]
     right = total = 0
-    for _ in range(100):
-        page, labels = html_crf.laid_out(rng, [html.escape(t, False) for t in long], [html.escape(t, False) for t in short])
+    for _ in range(200):
+        page, labels = html_crf.laid_out(rng, long, short, UNSEEN, 0.0)
         found = html_crf.blocks(page)
         got = field.viterbi(html_crf.page_features(found))
         right, total = right + sum(a == b for a, b in zip(got, labels, strict=True)), total + len(labels)
-    assert right / total > 0.97
+    assert right / total > 0.93, right / total
+
+
+@pytest.mark.parametrize("page", ["<div>x " * 100_000, '<a "' * 100_000, "<svg>x" * 50_000, "<div>" * 50_000 + "</p>" * 50_000, "<div>" * 30_000 + "<li>a</li>" * 30_000, "<!--" * 100_000, "<p>" + "&" * 200_000])
+def test_html_odd_pages_take_time_in_proportion(page):
+    import time
+
+    began = time.time()
+    found = html_crf.blocks(page)
+    html_crf.Field(np.zeros(len(html_crf.FEATURES)), np.zeros((2, 2))).viterbi(html_crf.page_features(found))
+    assert time.time() - began < 10
 
 
 def test_viterbi_is_the_best_path():
@@ -110,7 +129,7 @@ def test_viterbi_is_the_best_path():
 def test_html_edges(spark):
     rows = [(1, "u", None), (2, None, ""), (3, "u", "<p>broken <b>markup <p>two < three &amp; &#233;"), (3, "u", "<p>broken <b>markup <p>two < three &amp; &#233;"), (4, "u", "<article>" + "<p>word &nbsp; x</p>" * 20_000 + "</article>"), (5, "u", "<script>var a='<p>no</p>'</script>"), (6, "u", "<!-- <p>open")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("clash"))
-    field = html_crf.train(["<html><body><nav><ul><li><a href='#'>Home</a></li></ul></nav><article><p>Some long article text that goes on and on here.</p></article></body></html>"])
+    field = html_crf.train(["Home", "About us", "word x", "Some long article text that goes on and on here.", "And another one, longer than the first, which ends with a question?"])
     got = {r.page_id: r.text for r in html_crf.extract(df, field).collect()}
     assert html_crf.extract(df, field).count() == len(rows)
     assert got[1] == got[2] == got[5] == got[6] == ""
