@@ -7,10 +7,13 @@
    most popular class (the one whose buckets hold most classes: an original rather than one of its edits),
    so candidates grow with the classes, not with their square. Signatures sort out the hopeless pairs,
    shingle sets decide the others, and alternating large-star and small-star join links to components.
-3. Buckets that still hold several components get the exact rest: their shingle sets meet in blocks of
-   BLOCK classes, an inverted index gives exact overlaps, and only links between different components come
-   out - at most one less than there are classes.
-A link at the threshold is missed only where no band agrees: (1 - 0.85**ROWS)**BANDS = 1e-5.
+3. Buckets that still hold several components get the exact rest: the classes outside a bucket's largest
+   component meet all its classes, in blocks of BLOCK; an inverted index gives exact overlaps, and only links
+   between different components come out - at most one less than there are classes. A large group of near
+   copies costs its size times the few classes its star missed; a bucket of many unrelated classes (all five
+   minima alike, sets unlike) would cost its square.
+A link at the threshold is missed where no band agrees, (1 - 0.85**ROWS)**BANDS = 1e-5, or, in a bucket of two,
+where signatures agree five standard errors less than they should (3e-7).
 
 Texts cross the network at most once (only to pick those that have candidates). Loops cut their lineage by
 tables in the shared folder. Nothing but counts reaches the driver.
@@ -39,7 +42,7 @@ BANDS, ROWS = 20, 5
 #: A pair goes on to its full sets if this share of signature bytes agrees (0.85 less five standard errors).
 LEAST_AGREEING = 0.67
 #: Classes of a block that meet another block in one task.
-BLOCK = 512
+BLOCK = 256
 _CHUNK = 1 << 20
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -244,8 +247,8 @@ class _Union:
         return x
 
 
-def block_links(reps: list[int], comps: list[int], sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Links that join different components among the members of a block: exact overlaps from an inverted index."""
+def block_links(reps: list[int], comps: list[int], sets: list[np.ndarray], asking: list[bool], percent: int) -> list[tuple[int, int]]:
+    """Links that join different components, from the members that ask to any: exact overlaps from an inverted index."""
     union = _Union(comps)
     sizes = np.array([len(s) for s in sets])
     flat, member = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
@@ -256,6 +259,8 @@ def block_links(reps: list[int], comps: list[int], sets: list[np.ndarray], perce
     popular = np.add.reduceat(counts[shingle], bounds[:-1]) / sizes
     out = []
     for i in np.argsort(-popular, kind="stable"):
+        if not asking[i]:
+            continue
         roots = np.array([union.find(c) for c in comps])
         if (roots == roots[i]).all():
             if (roots == roots[0]).all():
@@ -275,13 +280,19 @@ def block_links(reps: list[int], comps: list[int], sets: list[np.ndarray], perce
 
 def remaining_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) inside buckets that hold several components. members: bucket, key, rep, component, n."""
-    parts = F.ceil(F.col("n") / BLOCK).cast("int")
-    rows = members.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    rows = rows.join(sets, "key").select("bucket", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "rep", "component", "shingles")
+    of = members.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("size"))
+    of = of.groupBy("bucket").agg(F.max_by("component", F.struct("size", F.bitwise_not("component"))).alias("major"), (F.sum("size") - F.max("size")).alias("minors"))
+    rows = members.join(of, "bucket").withColumn("asks", F.col("component") != F.col("major"))
+    deal = lambda n: F.pmod(F.xxhash64("key"), F.ceil(F.col(n) / BLOCK))
+    spread = lambda n: F.sequence(F.lit(0).cast("long"), F.ceil(F.col(n) / BLOCK) - 1)
+    # a row stands in its own block among those asked, for every block that asks; one that asks, also in each of those
+    asked = F.transform(spread("minors"), lambda p: F.struct(p.alias("p"), deal("n").alias("q"), (F.col("asks") & (deal("minors") == p)).alias("asks")))
+    guests = F.filter(F.transform(spread("n"), lambda q: F.struct(deal("minors").alias("p"), q.alias("q"), F.lit(True).alias("asks"))), lambda x: F.col("asks") & (x.q != deal("n")))
+    rows = rows.withColumn("at", F.explode(F.concat(asked, guests))).select("bucket", "key", "rep", "component", "at.*")
+    rows = rows.join(sets, "key").select("bucket", "p", "q", "rep", "component", "asks", "shingles")
 
     def run(group):
-        got = block_links(group["rep"].tolist(), group["component"].tolist(), [np.frombuffer(x, np.uint64) for x in group["shingles"]], percent)
+        got = block_links(group["rep"].tolist(), group["component"].tolist(), [np.frombuffer(x, np.uint64) for x in group["shingles"]], group["asks"].tolist(), percent)
         import pandas as pd
 
         return pd.DataFrame(got, columns=["a", "b"]).astype("int64")
