@@ -236,8 +236,9 @@ def build_index(pts: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
         row = (int(group["shard"].iloc[0]), vectors.shape[1], graph.entry, ids.tobytes(), vectors.tobytes(), graph.levels.tobytes(), np.concatenate(members).tobytes(), np.cumsum([len(m) for m in members]).astype(np.int64).tobytes(), [x.tobytes() for x in graph.neighbours])
         return pd.DataFrame([row], columns=["shard", "dim", "entry", "ids", "vectors", "levels", "members", "member_ends", "neighbours"])
 
+    # dealt by ranges of the shard number, which leave a task few shards; a hash would stack some
     dealt = pts.withColumn("shard", F.pmod(F.xxhash64("point", F.lit(5)), F.lit(shards)).cast("int"))
-    return dealt.repartition(shards, "shard").groupBy("shard", "dim").applyInPandas(build, INDEX)
+    return dealt.repartitionByRange(shards, "shard").groupBy("shard", "dim").applyInPandas(build, INDEX)
 
 
 def query_blocks(queries: DataFrame, size: int = QUERY_BLOCK) -> DataFrame:
