@@ -1,7 +1,7 @@
 """MinHash near-duplicate detection, confirmed on full shingle sets.
 
 1. One pass over the texts computes, inside tasks, each document's number of distinct 5-word shingles, a
-   128-bit key of its word sequence, a signature of BANDS x ROWS universal-hash minima (its low bytes are
+   128-bit key of its word sequence, a signature of MINIMA universal-hash minima (its low bytes are
    kept) and one hash for each band. Documents with equal keys form a class, represented once from here on.
 2. Classes that share a band hash are candidates. Within such a bucket every class meets the bucket's
    most popular class (the one whose buckets hold most classes: an original rather than one of its edits),
@@ -12,7 +12,7 @@
    between different components come out - at most one less than there are classes. A large group of near
    copies costs its size times the few classes its star missed; a bucket of many unrelated classes (all five
    minima alike, sets unlike) would cost its square.
-A link at the threshold is missed where no band agrees, (1 - 0.85**ROWS)**BANDS = 1e-5, or, in a bucket of two,
+A link at the threshold is missed where no band agrees, (1 - 0.85**5)**20 = 8e-6, or, in a bucket of two,
 where signatures agree five standard errors less than they should (3e-7).
 
 Texts cross the network at most once (only to pick those that have candidates). Loops cut their lineage by
@@ -38,9 +38,8 @@ from ._common import drop_stored, store, table
 WORDS = 5
 #: Link where 100 * intersection >= PERCENT * union.
 PERCENT = 85
-BANDS, ROWS = 20, 5
-#: A pair goes on to its full sets if this share of signature bytes agrees (0.85 less five standard errors).
-LEAST_AGREEING = 0.67
+#: Minima of a signature, and the largest chance to miss a link at the threshold by banding.
+MINIMA, MISS = 100, 1e-5
 #: Classes of a block that meet another block in one task.
 BLOCK = 256
 _CHUNK = 1 << 20
@@ -53,7 +52,7 @@ _LOWER[65:91] += 32
 def _constants() -> tuple[np.ndarray, ...]:
     rng = np.random.default_rng(20240229)
     draw = lambda n: rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    return draw(256), draw(WORDS), draw(BANDS * ROWS), draw(BANDS * ROWS), draw(1), draw(4)
+    return draw(256), draw(WORDS), draw(MINIMA), draw(MINIMA), draw(1), draw(4)
 
 
 @functools.lru_cache(maxsize=2)
@@ -65,6 +64,13 @@ def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
     return run(base), run(inverse)
 
 
+def banding(percent: int) -> tuple[int, int, float]:
+    """Bands, rows of a band, and the share of signature bytes that lets a pair on to its full sets (five standard errors under the threshold)."""
+    p = percent / 100
+    rows = max((r for r in range(1, 11) if (1 - p**r) ** (MINIMA // r) <= MISS), default=1)
+    return MINIMA // rows, rows, p - 5 * (p * (1 - p) / MINIMA) ** 0.5
+
+
 def _mix(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
     h = (h ^ (h >> np.uint64(29))) * np.uint64(0xC4CEB9FE1A85EC53)
@@ -135,25 +141,26 @@ def stretches(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
 
 
 def minima(h: np.ndarray, m: np.ndarray) -> np.ndarray:
-    """Signature (BANDS * ROWS) of each text that has shingles."""
+    """Signature (MINIMA values) of each text that has shingles."""
     _, _, a, b, _, _ = _constants()
     first = np.concatenate([[0], np.cumsum(m)])[:-1][m > 0]
-    out = np.empty((BANDS * ROWS, len(first)), np.uint32)
-    for k in range(BANDS * ROWS):
+    out = np.empty((MINIMA, len(first)), np.uint32)
+    for k in range(MINIMA):
         out[k] = np.minimum.reduceat(((h * a[k] + b[k]) >> np.uint64(32)).astype(np.uint32), first)
     return out.T
 
 
-def band_hashes(signature: np.ndarray) -> np.ndarray:
+def band_hashes(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     _, _, _, _, c, _ = _constants()
-    out = np.repeat(np.arange(1, BANDS + 1, dtype=np.uint64)[None], len(signature), 0) * c[0]
-    for r in range(ROWS):
-        out = _mix(out + signature[:, r::ROWS].astype(np.uint64) * np.uint64(2 * r + 0x9E3779B97F4A7C15))
+    out = np.repeat(np.arange(1, bands + 1, dtype=np.uint64)[None], len(signature), 0) * c[0]
+    for r in range(rows):
+        out = _mix(out + signature[:, r : bands * rows : rows].astype(np.uint64) * np.uint64(2 * r + 0x9E3779B97F4A7C15))
     return out
 
 
-def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, key (null without words), bands (array of BANDS longs), sig (bytes)."""
+def sketches(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, key (null without words), bands (an array of longs), sig (bytes)."""
+    n_bands, rows, _ = banding(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -163,9 +170,9 @@ def sketches(docs: DataFrame) -> DataFrame:
                 some = m > 0
                 bounds = np.concatenate([[0], np.cumsum(m)])
                 distinct = np.array([len(np.unique(h[bounds[i] : bounds[i + 1]])) for i in range(len(m))], np.int64)
-                sig = minima(h, m) if some.any() else np.zeros((0, BANDS * ROWS), np.uint32)
+                sig = minima(h, m) if some.any() else np.zeros((0, MINIMA), np.uint32)
                 keys = [k.tobytes() if s else None for k, s in zip(key, some, strict=True)]
-                bands = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(some * BANDS)]), pa.int32()), pa.array(band_hashes(sig).view(np.int64).ravel()))
+                bands = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(some * n_bands)]), pa.int32()), pa.array(band_hashes(sig, n_bands, rows).view(np.int64).ravel()))
                 sigs = iter(sig.astype(np.uint8))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(low, high - low), pa.array(distinct), pa.array(keys, pa.binary()), bands, pa.array([next(sigs).tobytes() if s else None for s in some], pa.binary())],
@@ -303,7 +310,7 @@ def remaining_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFr
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id long, text)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sketched = store(sketches(docs), "sketches")
+    sketched = store(sketches(docs, percent), "sketches")
     named = sketched.where("key is not null and doc_id is not null")
     classes = named.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
     classes = store(classes, "classes")
@@ -319,7 +326,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     sets = store(shingle_sets(docs.join(wanted.hint("merge"), "doc_id", "left_semi")).dropDuplicates(["key"]), "sets")
     sig = classes.select("key", "sig")
     agreeing = F.expr("aggregate(sequence(1, length(sig)), 0, (n, i) -> n + int(substring(sig, i, 1) = substring(c_sig, i, 1)))")
-    likely = pairs.join(sig, "key").join(sig.select(F.col("key").alias("c_key"), F.col("sig").alias("c_sig")), "c_key").where(agreeing >= LEAST_AGREEING * BANDS * ROWS)
+    likely = pairs.join(sig, "key").join(sig.select(F.col("key").alias("c_key"), F.col("sig").alias("c_sig")), "c_key").where(agreeing >= banding(percent)[2] * MINIMA)
     a, b = (sets.select(F.col("key").alias(k), F.col("shingles").alias(s)) for k, s in (("key", "a_shingles"), ("c_key", "b_shingles")))
     tested = likely.join(a, "key").join(b, "c_key").select(F.col("rep").alias("a"), F.col("c_rep").alias("b"), "a_shingles", "b_shingles")
     links = store(confirmed(tested, percent), "links")

@@ -525,6 +525,13 @@ def test_minhash_chain_is_one_component(spark):
     assert got == brute_components(rows) and set(got.values()) == {0}
 
 
+def test_banding_follows_the_threshold():
+    assert minhash.banding(85)[:2] == (20, 5) and minhash.banding(80)[:2] == (25, 4)
+    for percent in (50, 70, 80, 85, 90, 95):
+        bands, rows, least = minhash.banding(percent)
+        assert (1 - (percent / 100) ** rows) ** bands <= 2e-5 and least < percent / 100
+
+
 def test_minhash_edges(spark, edges, empty):
     got = minhash.near_duplicates(edges).collect()
     assert len(got) == len(EDGES)

@@ -33,7 +33,7 @@ def test_language_stage_drops_only_texts_without_letters(spark, sf, odd):
 def test_dedup_stage_keeps_one_of_each_group(spark, sf):
     docs = table(spark, sf, "documents")
     kept = STAGES["MinHash near-dedup"](spark, docs, sf)
-    wanted = {c for c in brute_components([(r.doc_id, r.text) for r in docs.collect()]).values()}
+    wanted = {c for c in brute_components([(r.doc_id, r.text) for r in docs.collect()], corpus_pipeline.PERCENT).values()}
     ids = [r.doc_id for r in kept.collect()]
     assert sorted(ids) == sorted(wanted)
 
@@ -56,3 +56,17 @@ def test_run_encodes_what_the_stages_leave(spark, sf):
     out = corpus_pipeline.run(spark, sf)
     assert out.count() > 0 and out.where("bytes_covered != bytes_decoded").count() == 0
     assert len(corpus_pipeline.STAGES) == 5 and corpus_pipeline.ORACLE_SQL is None
+
+
+def test_dedup_stage_keeps_the_different_texts_of_one_id(spark, sf):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(40)) for x in "abc")
+    rows = [(1, a, "en", "s"), (1, a, "en", "s"), (2, b, "en", "s"), (2, c, "en", "s"), (3, b, "en", "s"), (4, c + " more", "en", "s"), (5, a, "en", "s"), (None, a, "en", "s")]
+    got = STAGES["MinHash near-dedup"](spark, spark.createDataFrame(rows, SCHEMA), sf)
+    assert sorted((r.doc_id or 0, r.text) for r in got.collect()) == sorted([(1, a), (2, b), (2, c), (3, b), (4, c + " more"), (0, a)])
+
+
+def test_encoding_stage_takes_odd_rows(spark, sf, odd):
+    got = STAGES["SentencePiece"](spark, odd, sf).collect()
+    assert sorted((r.doc_id or 0, r.bytes_covered) for r in got) == sorted((d or 0, len((t or "").encode())) for d, t, *_ in EDGES)
+    assert all(r.n_tokens == len(r.ids) for r in got)
+    assert STAGES["SentencePiece"](spark, odd.where("false"), sf).count() == 0
