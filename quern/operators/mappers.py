@@ -40,7 +40,7 @@ REGION_FORMS = (
 
 @dataclass(frozen=True)
 class Rule:
-    """Patterns in order, first match wins; groups of the count and the share (0 for none)."""
+    """Patterns in order, first match wins; groups of the count and the share (0 for none); ``minus`` turns the sign."""
 
     metric: str
     patterns: tuple[str, ...]
@@ -49,6 +49,7 @@ class Rule:
     subgroup: str = ""
     scope: str = ""
     region: str = "Philippines"
+    minus: bool = False
 
 
 @dataclass(frozen=True)
@@ -94,13 +95,11 @@ MAPPERS = (
 
 
 def _number(text: Column, patterns: tuple[str, ...], group: int) -> Column:
-    """The group of the first pattern that matches at all."""
-    if not group:
-        return F.lit(None).cast("double")
+    """The group, as a number or number word, of the first pattern that matches at all."""
     out = F.lit(None).cast("double")
     for p in reversed(patterns):
-        if p.count("(") - p.count("(?") >= group:
-            out = F.when(text.rlike(p), numbers.decimal(F.regexp_extract(text, p, group))).otherwise(out)
+        said = F.regexp_extract(text, p, group)
+        out = F.when(text.rlike(p), F.coalesce(numbers.decimal(said), numbers.integer(said).cast("double"))).otherwise(out)
     return out
 
 
@@ -109,8 +108,9 @@ def compiled(mapper: Mapper, text: Column) -> Column:
     items = []
     for r in mapper.rules:
         for suffix, unit, group in (("_count", "count", r.count), ("_pct", "percent", r.share)):
-            if group:
-                items.append(F.struct(F.lit(r.metric + suffix).alias("metric"), F.lit(unit).alias("unit"), F.lit(r.region).alias("region"), F.lit(r.subgroup).alias("subgroup"), F.lit(r.scope).alias("scope"), _number(text, r.patterns, group).alias("value")))
+            usable = tuple(p for p in r.patterns if p.count("(") - p.count("(?") - p.count(r"\(") >= group)
+            if group and usable:
+                items.append(F.struct(F.lit(r.metric + suffix).alias("metric"), F.lit(unit).alias("unit"), F.lit(r.region).alias("region"), F.lit(r.subgroup).alias("subgroup"), F.lit(r.scope).alias("scope"), (_number(text, usable, group) * (-1 if r.minus else 1)).alias("value")))
     return F.filter(F.array(*items), lambda x: x["value"].isNotNull())
 
 
@@ -119,6 +119,7 @@ def narrative(claims: DataFrame, mappers: tuple[Mapper, ...] = MAPPERS) -> DataF
     text = texts.evidence(F.col("claim_text"), F.col("snippet"))
     rows = claims.select("claim_id", "page_index", text.alias("evidence"))
     low = F.lower("evidence")
+    rows = rows.where(low.rlike("|".join(dict.fromkeys(w for m in mappers for w in m.markers))))  # most texts go here
     every = []
     for k, m in enumerate(mappers):
         gate = low.rlike("|".join(m.markers)) & ((F.col("page_index") == 0) | F.lit(not m.first_page))

@@ -1,6 +1,6 @@
 """Queries over the evidence tables and what they register."""
 
-from . import analytics, relational, texts
+from . import analytics, bulletins, relational, texts
 from .registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "analytics", "relational", "texts"]
+__all__ = ["ORACLES", "QUERIES", "analytics", "bulletins", "relational", "texts"]
