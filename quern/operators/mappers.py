@@ -94,47 +94,40 @@ MAPPERS = (
 )
 
 
-def _number(text: Column, patterns: tuple[str, ...], group: int) -> Column:
-    """The group, as a number or number word, of the first pattern that matches at all."""
-    out = F.lit(None).cast("double")
-    for p in reversed(patterns):
-        said = F.regexp_extract(text, p, group)
-        out = F.when(text.rlike(p), F.coalesce(numbers.decimal(said), numbers.integer(said).cast("double"))).otherwise(out)
-    return out
-
-
-def compiled(mapper: Mapper, text: Column) -> Column:
-    """Array of (metric, unit, region, subgroup, scope, value): a count and a share row for each rule; null values are dropped."""
-    items = []
-    for r in mapper.rules:
-        for suffix, unit, group in (("_count", "count", r.count), ("_pct", "percent", r.share)):
-            usable = tuple(p for p in r.patterns if p.count("(") - p.count("(?") - p.count(r"\(") >= group)
-            if group and usable:
-                items.append(F.struct(F.lit(r.metric + suffix).alias("metric"), F.lit(unit).alias("unit"), F.lit(r.region).alias("region"), F.lit(r.subgroup).alias("subgroup"), F.lit(r.scope).alias("scope"), (_number(text, usable, group) * (-1 if r.minus else 1)).alias("value")))
-    return F.filter(F.array(*items), lambda x: x["value"].isNotNull())
+_WORDS = ", ".join(f"'{w}', {n}D" for w, n in numbers.NUMBER_WORDS.items())
+
+
+def _item(r: Rule, suffix: str, unit: str, group: int, text: str) -> str | None:
+    """SQL for a row of what a rule's patterns find, as text: the group of the first pattern that has it."""
+    usable = [p for p in r.patterns if group and p.count("(") - p.count("(?") - p.count(r"\(") >= group]
+    if not usable:
+        return None
+    found = ", ".join(f"nullif(regexp_extract({text}, r'{p}', {group}), '')" for p in usable)
+    told = ", ".join(f"'{v}' as {k}" for k, v in (("metric", r.metric + suffix), ("unit", unit), ("region", r.region), ("subgroup", r.subgroup), ("scope", r.scope)))
+    return f"struct({told}, coalesce({found}) as said, {'-1D' if r.minus else '1D'} as sign)"
+
+
+def compiled(mapper: Mapper, text: str, rank: int = 0) -> str:
+    """SQL for an array of (metric, unit, region, subgroup, scope, value, mapper_rank, mapper) from the column ``text``: a count and a share row for each rule; null values are dropped."""
+    items = [x for r in mapper.rules for x in (_item(r, "_count", "count", r.count, text), _item(r, "_pct", "percent", r.share, text)) if x]
+    number = f"coalesce(try_cast(nullif(regexp_extract(regexp_replace(x.said, '[,%]', ''), r'\d+(?:\.\d+)?', 0), '') as double), try_element_at(map({_WORDS}), lower(trim(x.said))))"
+    row = f"struct(x.metric, x.unit, x.region, x.subgroup, x.scope, x.sign * {number} as value, {rank} as mapper_rank, '{mapper.name}' as mapper)"
+    return f"filter(transform(filter(array({', '.join(items)}), x -> x.said is not null), x -> {row}), r -> r.value is not null)"
 
 
 def narrative(claims: DataFrame, mappers: tuple[Mapper, ...] = MAPPERS) -> DataFrame:
     """Observations of claims (claim_id, page_index, claim_text, snippet): every mapper's rows, and of rows alike the first mapper's."""
     text = texts.evidence(F.col("claim_text"), F.col("snippet"))
-    rows = claims.select("claim_id", "page_index", text.alias("evidence"))
-    low = F.lower("evidence")
-    rows = rows.where(low.rlike("|".join(dict.fromkeys(w for m in mappers for w in m.markers))))  # most texts go here
-    every = []
-    for k, m in enumerate(mappers):
-        gate = low.rlike("|".join(m.markers)) & ((F.col("page_index") == 0) | F.lit(not m.first_page))
-        every.append(F.when(gate, F.transform(compiled(m, F.col("evidence")), _ranked(k, m.name))).otherwise(F.expr(f"cast(array() as {_ROW})")))
-    out = rows.select("claim_id", F.inline(F.flatten(F.array(*every))))
+    rows = claims.select("claim_id", "page_index", text.alias("evidence"), F.lower(text).alias("low"))
+    rows = rows.where(F.col("low").rlike("|".join(dict.fromkeys(w for m in mappers for w in m.markers))))  # most texts go here
+    gated = [f"if(low rlike '{'|'.join(m.markers)}'{' and page_index = 0' if m.first_page else ''}, {compiled(m, 'evidence', k)}, cast(array() as {_ROW}))" for k, m in enumerate(mappers)]
+    out = rows.select("claim_id", F.expr(f"inline(flatten(array({', '.join(gated)})))"))
     return first_of(out, ["claim_id", "metric", "region", "subgroup", "scope"], F.asc("mapper_rank"), F.asc("value")).withColumn("observation_id", observation_id())
 
 
 _ROW = "array<struct<metric: string, unit: string, region: string, subgroup: string, scope: string, value: double, mapper_rank: int, mapper: string>>"
 
 
-def _ranked(rank: int, name: str):
-    return lambda s: F.struct(s["metric"].alias("metric"), s["unit"].alias("unit"), s["region"].alias("region"), s["subgroup"].alias("subgroup"), s["scope"].alias("scope"), s["value"].alias("value"), F.lit(rank).alias("mapper_rank"), F.lit(name).alias("mapper"))
-
-
 def observation_id() -> Column:
     return F.concat_ws(":", "claim_id", "metric", "region", F.nullif("subgroup", F.lit("")), F.nullif("scope", F.lit("")))
 
