@@ -69,7 +69,7 @@ KINDS = (
     Kind("ip", r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", rf"m rlike '^{_BYTE}([.]{_BYTE}){{3}}$'", 0.7, "ip|host|server|address|login"),
     Kind("card", r"(?:(?<![0-9])|\G)[0-9](?:[ -]?[0-9]){13,}+", f"length(regexp_replace(m, '[ -]', '')) between 14 and 19 and {luhn("regexp_replace(m, '[ -]', '')")}", 0.8, "card|visa|master|credit|payment"),
     Kind("phone", r"\+[0-9][ ().0-9-]+[0-9]", "length(regexp_replace(m, '[^0-9]', '')) between 10 and 15", 0.7, "phone|call|tel|mobile|fax"),
-    Kind("iban", rf"(?<![A-Za-z0-9])(?:{_IBAN})(?![A-Za-z0-9])", mod97("replace(m, ' ', '')"), 0.7, "iban|bank|account|konto|compte|cuenta", False),
+    Kind("iban", rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{_IBAN})(?![A-Za-z0-9])", mod97("replace(m, ' ', '')"), 0.7, "iban|bank|account|konto|compte|cuenta", False),
     Kind("ssn", r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])", "substr(m, 1, 3) not in ('000', '666') and substr(m, 1, 1) != '9' and substr(m, 5, 2) != '00' and substr(m, 8, 4) != '0000'", 0.4, "ssn|social security", False),
 )
 #: A span needs this score; context words within WINDOW code points before or after it add BONUS.
@@ -108,13 +108,14 @@ def _found(kind: Kind, order: int) -> str:
 
 def _with_spans(docs: DataFrame, kinds: tuple[Kind, ...]) -> DataFrame:
     """``docs`` with ``__pieces`` of the text and its scored ``__spans``; ``text`` is not null any more."""
-    df = docs.withColumn("text", F.coalesce("text", F.lit(""))).withColumn("__pieces", F.expr(f"regexp_extract_all(text, '(?s).{{1,{PIECE}}}', 0)"))
     every = ", ".join(f"coalesce({_found(k, i)}, cast(array() as array<{SPAN}>))" for i, k in enumerate(kinds))
+    df = docs.withColumn("text", F.coalesce("text", F.lit(""))).withColumn("__found", F.expr(f"concat({every})"))
+    df = df.withColumn("__pieces", F.expr(f"if(size(__found) = 0, null, regexp_extract_all(text, '(?s).{{1,{PIECE}}}', 0))"))
     context = " ".join(f"when {i} then '{k.context}'" for i, k in enumerate(kinds))
     around = f"concat({cut(f'greatest(s.start - {WINDOW}, 0)', 's.start')}, ' ', {cut('s.stop', f's.stop + {WINDOW}')})"
     near = f"if(lower({around}) rlike (case s.kind_no {context} end), {BONUS}D, 0D)"
-    scored = f"transform(s0, s -> struct(s.start, s.kind_no, s.kind, s.stop, least(1D, s.score + {near}) as score))"
-    spans = f"transform(array(concat({every})), s0 -> if(size(s0) = 0, s0, array_sort(filter({scored}, s -> s.score >= {LEAST}))))[0]"
+    scored = f"transform(__found, s -> struct(s.start, s.kind_no, s.kind, s.stop, least(1D, s.score + {near}) as score))"
+    spans = f"if(size(__found) = 0, __found, array_sort(filter({scored}, s -> s.score >= {LEAST})))"
     return df.withColumn("__spans", F.expr(spans.replace("pieces", "__pieces")))
 
 
