@@ -110,7 +110,7 @@ def _item(r: Rule, suffix: str, unit: str, group: int, text: str) -> str | None:
 def compiled(mapper: Mapper, text: str, rank: int = 0) -> str:
     """SQL for an array of (metric, unit, region, subgroup, scope, value, mapper_rank, mapper) from the column ``text``: a count and a share row for each rule; null values are dropped."""
     items = [x for r in mapper.rules for x in (_item(r, "_count", "count", r.count, text), _item(r, "_pct", "percent", r.share, text)) if x]
-    number = f"coalesce(try_cast(nullif(regexp_extract(regexp_replace(x.said, '[,%]', ''), r'\d+(?:\.\d+)?', 0), '') as double), try_element_at(map({_WORDS}), lower(trim(x.said))))"
+    number = rf"coalesce(try_cast(nullif(regexp_extract(regexp_replace(x.said, '[,%]', ''), r'\d+(?:\.\d+)?', 0), '') as double), try_element_at(map({_WORDS}), lower(trim(x.said))))"
     row = f"struct(x.metric, x.unit, x.region, x.subgroup, x.scope, x.sign * {number} as value, {rank} as mapper_rank, '{mapper.name}' as mapper)"
     return f"filter(transform(filter(array({', '.join(items)}), x -> x.said is not null), x -> {row}), r -> r.value is not null)"
 
