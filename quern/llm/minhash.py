@@ -230,13 +230,18 @@ def stars(edges: DataFrame, large: bool) -> DataFrame:
     return wanted.where("a != b").distinct()
 
 
+def settled(edges: DataFrame) -> bool:
+    """Whether (a, b) edges, b the smaller, are stars: every a has one edge and none is the b of another."""
+    ends = edges.select(F.col("a").alias("id"), F.lit(1).alias("up")).unionByName(edges.select(F.col("b").alias("id"), F.lit(0).alias("up")))
+    of = ends.groupBy("id").agg(F.sum("up").alias("ups"), F.count(F.lit(1)).alias("n"))
+    return of.where("ups > 1 or ups = 1 and n > 1").agg(F.count(F.lit(1))).first()[0] == 0
+
+
 def components(edges: DataFrame) -> DataFrame:
     """id, component (the smallest id reachable) for every id that has an edge (a, b)."""
     edges = store(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    mark = lambda df: df.agg(F.count(F.lit(1)), F.sum(F.shiftright(F.xxhash64("a", "b"), 40)), F.bit_xor(F.xxhash64("a", "b"))).first()
-    before = None
-    while (now := mark(edges)) != before:
-        before, old = now, edges
+    while not settled(edges):
+        old = edges
         edges = store(stars(stars(edges, True), False), "edges")
         drop_stored(old)
     # every id now has one edge, to its component
@@ -340,7 +345,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     rest = store(remaining_links(placed.join(mixed, "bucket", "left_semi"), sets, percent), "rest")
 
     copies = named.join(classes.select("key", "rep"), "key").where("doc_id != rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    final = components(links.unionByName(rest).unionByName(copies))
+    final = components(first.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(rest).unionByName(copies))
     out = sketched.join(final, sketched.doc_id == final.id, "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
