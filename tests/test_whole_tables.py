@@ -1,5 +1,6 @@
 """Queries over whole tables against brute force: no ordinary row is left out."""
 
+import hashlib
 import re
 from collections import Counter
 
@@ -28,3 +29,18 @@ def test_sentences_of_every_document(spark, tmp_path):
 def test_labels_with_entities(spark, tmp_path):
     spark.createDataFrame([(1, HTML)], "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
     assert sorted(r.label for r in QUERIES["s8_all_link_labels"](spark, str(tmp_path)).collect()) == ["Fish & Chips", "R&D", "a < b", "plain"]
+
+
+def test_chunks_of_every_document(spark, tmp_path):
+    def packed(text):
+        done, now = [], ""
+        for line in text.split("\n"):
+            joined = f"{now}\n{line}" if now else line
+            done, now = ([*done, now], line) if now and len(joined) > 2000 else (done, joined)
+        return [c for c in [*done, now] if c.strip(" ")]
+
+    texts = {1: "a" * 5000, 2: "\n".join(f"line {i} " + "x" * (i % 90) for i in range(3000)), 3: "", 4: None, 5: "short\n\n\nend"}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r.doc_id, r.chunk_no): (r.n, r.digest) for r in QUERIES["g2_chunks"](spark, str(tmp_path)).collect()}
+    want = {(k, i): (len(c), hashlib.md5(c.encode()).hexdigest()) for k, t in texts.items() if t is not None for i, c in enumerate(packed(t))}
+    assert got == want and sum(k == 2 for k, _ in want) > 40
