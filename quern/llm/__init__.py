@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-_MODULES = ("langid", "html_crf", "hnsw", "pii", "imatch", "chat", "sharding", "sentencepiece", "minhash", "mixing", "packing", "runs")
+_MODULES = ("langid", "html_crf", "hnsw", "pii", "imatch", "chat", "sharding", "sentencepiece", "minhash", "mixing", "packing", "runs", "alignment")
 
 
 def queries():

@@ -20,7 +20,7 @@ SEGMENT = 1 << 18
 # The pattern that byte-level vocabularies split words by, and Unicode's white space.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 WHITE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
-_CUT = re.compile(f"(?<=[^{WHITE}]) ")
+_CUT = re.compile(f"(?<=[^{WHITE}]) (?!\\Z)")
 #: White space that the fast encoder's pattern runs out of stack on.
 _LONG = re.compile(f"[{WHITE}]{{1000}}")
 
