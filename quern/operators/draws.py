@@ -54,3 +54,17 @@ def persistence(points: DataFrame, keys: list[str], order: str) -> DataFrame:
 def risk(shortfalls: DataFrame, n: int = 10) -> DataFrame:
     """Watch list: mean shortfall + 0.35 x leakage rate. shortfalls (region, mean_shortfall, rate)."""
     return shortfalls.withColumn("risk", F.round(F.col("mean_shortfall") + 0.35 * F.col("rate"), 2)).orderBy(F.desc("risk"), "region").limit(n)
+
+
+def with_checkpoint(paths: DataFrame, observed: DataFrame, keys: list[str]) -> DataFrame:
+    """Paths after an observed year has come in: its value stands in every path array, and forecasts of it and earlier years go.
+
+    paths: ``keys``, years and values (arrays side by side), forecast (array of year, value), observed_years (array).
+    observed: ``keys``, year, value; several of a key are applied alike. Keys without an observation stay as they are.
+    """
+    seen = observed.where("year is not null and value is not null").groupBy(*keys).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("year", "value")))).alias("__seen"), F.max("year").alias("__last"))
+    held = paths.join(seen, keys, "left")
+    patched = F.zip_with("years", "values", lambda y, v: F.coalesce(F.try_element_at("__seen", y), v))
+    later = F.filter("forecast", lambda f: F.col("__last").isNull() | (f["year"] > F.col("__last")))
+    years = F.array_sort(F.array_union("observed_years", F.coalesce(F.map_keys("__seen"), F.slice("observed_years", 1, 0))))
+    return held.withColumns({"values": patched, "forecast": later, "observed_years": years}).select(*paths.columns)

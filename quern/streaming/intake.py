@@ -14,8 +14,13 @@ from pyspark.sql.types import StructType
 
 
 def follow(spark: SparkSession, path: str, schema: StructType, files_at_once: int = 100) -> DataFrame:
-    """New Parquet files of a folder."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_at_once).parquet(path)
+    """New Parquet files of a folder, or the one file that ``path`` names, where it lies."""
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_at_once)
+    folder, _, name = path.rstrip("/").rpartition("/")
+    files = spark.read.schema(schema).parquet(path).inputFiles()
+    if any(f.rstrip("/").endswith(f"/{name}") for f in files):
+        return stream.option("pathGlobFilter", name).parquet(folder)
+    return stream.parquet(path)
 
 
 def drain(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
@@ -46,6 +51,30 @@ def sessions(df: DataFrame, stamp: str, keys: list[str], gap: str = "900 seconds
     return out.select(F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), *keys, "events")
 
 
+def claims_into(documents: DataFrame, target: str, checkpoint: str, claims: Callable[[DataFrame], DataFrame]) -> None:
+    """Drain a stream of whole documents into claims, exactly once.
+
+    Each batch is a run; its claims go to a folder of their own, which a batch that comes again after a failure
+    writes anew. A document delivered again is claimed again under the later run, see :func:`current_claims`.
+    """
+
+    def write(batch: DataFrame, run: int) -> None:
+        kept = batch.persist()
+        try:
+            claims(kept).withColumn("run", F.lit(run).cast("long")).write.mode("overwrite").parquet(f"{target}/claims/run={run}")
+            kept.select("doc_id").distinct().write.mode("overwrite").parquet(f"{target}/documents/run={run}")
+        finally:
+            kept.unpersist()
+
+    drain_to(documents, write, checkpoint)
+
+
+def current_claims(spark: SparkSession, target: str) -> DataFrame:
+    """The claims of each document's newest run, also where that found none."""
+    newest = spark.read.parquet(f"{target}/documents").groupBy("doc_id").agg(F.max("run").alias("run"))
+    return spark.read.parquet(f"{target}/claims").join(newest, ["doc_id", "run"], "left_semi")
+
+
 def split_late(batch: DataFrame, stamp: str, horizon) -> tuple[DataFrame, DataFrame]:
     """Rows on time, and rows older than the horizon, which go to a side table instead of being dropped."""
     late = F.col(stamp) < F.lit(horizon)
