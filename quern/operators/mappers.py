@@ -6,14 +6,15 @@ read once and gives its rows by ``inline``. A user's own rule is one more Rule i
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import numbers, text as texts
+from . import markers
 from .classify import region_code
-from .resolve import first_of
 
 # Metrics of table columns, in column order.
 CASCADE = ["estimated_plhiv", "diagnosed_plhiv", "diagnosis_coverage", "on_art", "art_coverage", "vl_tested", "vl_testing_coverage", "vl_suppressed", "vl_suppression_among_tested", "suppression_among_on_art"]
@@ -40,10 +41,15 @@ REGION_FORMS = (
 
 @dataclass(frozen=True)
 class Rule:
-    """Patterns in order, first match wins; groups of the count and the share (0 for none); ``minus`` turns the sign."""
+    """Patterns in order; the first that matches gives the count and the share.
+
+    A pattern is text, with the groups of count and share that the rule names (0 for none), or a tuple of text and
+    groups of its own; a group given as text is that number. ``{base}`` as metric stands for what the claim counts
+    (``{cases}``: new cases if it counts those, else reported cases), the scope ``{since}`` for cumulative where the claim counts since 1984; ``minus`` turns the sign.
+    """
 
     metric: str
-    patterns: tuple[str, ...]
+    patterns: tuple[str | tuple, ...]
     count: int = 1
     share: int = 0
     subgroup: str = ""
@@ -54,78 +60,141 @@ class Rule:
 
 @dataclass(frozen=True)
 class Mapper:
-    """Rules for claims whose lower-cased text holds one of the markers; ``first_page`` keeps to page 0."""
+    """Rules for claims whose lower-cased text holds one of the markers, and one of ``also`` where there are any.
+
+    ``first_page`` keeps to page 0. ``fallback`` rules speak where the others found nothing. ``after`` are steps on the rows found:
+    SQL of an array and what it becomes (:func:`shares_of`, :func:`drop_if`).
+    """
 
     name: str
     markers: tuple[str, ...]
     rules: tuple[Rule, ...] = field(default_factory=tuple)
     first_page: bool = False
+    also: tuple[str, ...] = ()
+    fallback: tuple[Rule, ...] = ()
+    after: tuple[Callable[[str], str], ...] = ()
 
 
-#: Narrative mappers, in the order that settles which one speaks for a claim.
-MAPPERS = (
-    Mapper("national_art", ("currently on life", "plhiv on art", "tested for viral load"), (
-        Rule("plhiv_on_art", (rf"(?i){_COUNT}\s*\({_PCT}[^)]*\)\s*PLHIV are currently on", rf"(?i){_COUNT} PLHIV (?:are|were) on (?:ART|treatment)"), 1, 2),
-        Rule("vl_tested", (rf"(?i){_COUNT}\s*\({_PCT}[^)]*\)[^.]{{0,80}}tested for viral load",), 1, 2),
-        Rule("vl_suppressed", (rf"(?i){_COUNT}\s*\({_PCT}[^)]*\)[^.]{{0,80}}suppressed",), 1, 2),
-    ), True),
-    Mapper("monthly_new_cases", ("newly diagnosed", "new cases", "new hiv"), (
-        Rule("new_cases", (rf"(?i)there were {_COUNT} (?:new|newly)", rf"(?i){_COUNT} (?:new|newly)[a-z -]*cases"), 1, 0, "", "month"),
-    )),
-    Mapper("deaths", ("death", "died"), (
-        Rule("deaths", (rf"(?i){_COUNT}(?: reported)? deaths", rf"(?i){_COUNT} (?:people )?died"),),
-        Rule("deaths", (rf"(?i){_COUNT}\s*\({_PCT}\) were male",), 1, 2, "male"),
-        Rule("deaths", (rf"(?i){_COUNT}\s*\({_PCT}\) were female",), 1, 2, "female"),
-    )),
-    Mapper("age_groups", ("age group", "years old", "y/o"), tuple(
-        Rule("reported_cases", (rf"(?i){_COUNT}\s*\({_PCT}\)[^.;]{{0,40}}{words}", rf"(?i){words}[^.;]{{0,40}}?{_COUNT}\s*\({_PCT}\)"), 1, 2, group)
-        for group, words in (("age_lt_15", "(?:less than|under) 15"), ("age_15_24", "15[- ]+(?:to )?24"), ("age_25_34", "25[- ]+(?:to )?34"), ("age_35_49", "35[- ]+(?:to )?49"), ("age_50_plus", "50 (?:years|y/o)"))
-    )),
-    Mapper("transmission", ("sexual contact", "needle", "mother-to-child", "mother to child"), (
-        Rule("transmission_sexual", (rf"(?i){_COUNT}\s*\({_PCT}\)[^.;]{{0,60}}sexual contact", rf"(?i)sexual contact[^.;]{{0,40}}?{_COUNT}\s*\({_PCT}\)"), 1, 2),
-        Rule("transmission_needles", (rf"(?i){_COUNT}\s*\({_PCT}\)[^.;]{{0,60}}needle",), 1, 2),
-        Rule("transmission_mother_to_child", (rf"(?i){_COUNT}\s*\({_PCT}\)[^.;]{{0,60}}mother[- ]to[- ]child",), 1, 2),
-    )),
-    Mapper("pregnant", ("pregnant",), (Rule("pregnant_reported", (rf"(?i){_COUNT} (?:HIV-positive |diagnosed )?pregnant",), 1, 0, "", "cumulative"),)),
-    Mapper("migrant_workers", ("ofw", "overseas filipino", "worked overseas"), (
-        Rule("reported_cases", (rf"(?i){_COUNT}\s*\({_PCT}\)[^.;]{{0,60}}(?:OFW|overseas)", rf"(?i){_COUNT} (?:OFWs|overseas)"), 1, 2, "migrant_workers"),
-    )),
-    Mapper("historical", ("since 1984", "from january 1984", "from 1984"), (Rule("reported_cases", (rf"(?i)(?:since|from)[^.]{{0,60}}1984[^.]{{0,120}}?{_COUNT}(?:\s*\({_PCT}\))?[^.]{{0,40}}cases",), 1, 2, "", "cumulative"),)),
-)
+_WORDS = ", ".join(f"'{w}', {n}D" for w, n in numbers.NUMBER_WORDS.items())
+_ROW = "array<struct<metric: string, unit: string, region: string, subgroup: string, scope: string, value: double>>"
+_NONE = f"cast(array() as {_ROW})"
+#: How texts say that they count from the beginning.
+SINCE = "from january 1984|from 1984 to|since 1984|since january 1984"
 
 
-_WORDS = ", ".join(f"'{w}', {n}D" for w, n in numbers.NUMBER_WORDS.items())
+def _number(said: str) -> str:
+    return rf"coalesce(try_cast(nullif(regexp_extract(regexp_replace({said}, '[,%]', ''), r'\d+(?:\.\d+)?', 0), '') as double), try_element_at(map({_WORDS}), lower(trim({said}))))"
+
+
+def _group(text: str, pattern: str, group: int | str) -> str:
+    if isinstance(group, str):
+        return f"'{group}'"
+    return f"nullif(regexp_extract({text}, r'{pattern}', {group}), '')" if group else "cast(null as string)"
+
+
+def _rule(r: Rule, text: str) -> str:
+    """SQL for the count and share rows of a rule, or null."""
+    tried = []
+    for p in r.patterns:
+        pattern, count, share = p if isinstance(p, tuple) else (p, r.count, r.share)
+        tried.append(f"if({text} rlike r'{pattern}', struct({_group(text, pattern, count)} as c, {_group(text, pattern, share)} as s), null)")
+    counted = {"{base}": "base", "{cases}": "if(base = 'new_cases', base, 'reported_cases')"}.get(r.metric)
+    metric = lambda suffix: f"concat({counted}, '{suffix}')" if counted else f"'{r.metric}{suffix}'"
+    scope = "since" if r.scope == "{since}" else f"'{r.scope}'"
+    row = lambda suffix, unit, said: f"struct({metric(suffix)} as metric, '{unit}' as unit, '{r.region}' as region, '{r.subgroup}' as subgroup, {scope} as scope, {said} as said, {-1 if r.minus else 1}D as sign)"
+    return f"get(transform(filter(array(coalesce({', '.join(tried)})), f -> f is not null), f -> array({row('_count', 'count', 'f.c')}, {row('_pct', 'percent', 'f.s')})), 0)"
+
+
+def _rules(rules: tuple[Rule, ...], text: str) -> str:
+    said = f"filter(flatten(filter(array({', '.join(_rule(r, text) for r in rules)}), x -> x is not null)), x -> x.said is not null)"
+    return f"filter(transform({said}, x -> struct(x.metric, x.unit, x.region, x.subgroup, x.scope, x.sign * {_number('x.said')} as value)), r -> r.value is not null)"
+
+
+def compiled(mapper: Mapper, text: str) -> str:
+    """SQL for an array of (metric, unit, region, subgroup, scope, value) from the columns ``text``, base, since and year."""
+    out = _rules(mapper.rules, text)
+    if mapper.fallback:
+        out = f"transform(array({out}), a -> if(size(a) > 0, a, {_rules(mapper.fallback, text)}))[0]"
+    for step in mapper.after:
+        out = f"transform(array({out}), a -> {step('a')})[0]"
+    return out
+
+
+def value_of(rows: str, metric: str, subgroup: str = "") -> str:
+    return f"get(filter({rows}, v -> v.metric = '{metric}' and v.subgroup = '{subgroup}'), 0).value"
+
+
+def drop_if(metric: str, wrong: Callable[[str], str]) -> Callable[[str], str]:
+    """Rows of a metric go where the SQL condition on the claim's rows holds: counts that were misread."""
+    return lambda a: f"filter({a}, r -> not (r.metric = '{metric}' and coalesce({wrong(a)}, false)))"
 
 
-def _item(r: Rule, suffix: str, unit: str, group: int, text: str) -> str | None:
-    """SQL for a row of what a rule's patterns find, as text: the group of the first pattern that has it."""
-    usable = [p for p in r.patterns if group and p.count("(") - p.count("(?") - p.count(r"\(") >= group]
-    if not usable:
-        return None
-    found = ", ".join(f"nullif(regexp_extract({text}, r'{p}', {group}), '')" for p in usable)
-    told = ", ".join(f"'{v}' as {k}" for k, v in (("metric", r.metric + suffix), ("unit", unit), ("region", r.region), ("subgroup", r.subgroup), ("scope", r.scope)))
-    return f"struct({told}, coalesce({found}) as said, {'-1D' if r.minus else '1D'} as sign)"
+def shares_of(total: str, parts: tuple[str, ...], subgroups: tuple[str, ...] = ("",), digits: int = 1) -> Callable[[str], str]:
+    """Counts of ``parts`` in the count ``total`` that come without a share get it, unless they are larger."""
+    counts = ", ".join(f"'{p}_count'" for p in parts)
+    groups = ", ".join(f"'{g}'" for g in subgroups)
 
+    def step(a: str) -> str:
+        whole = value_of(a, f"{total}_count")
+        share = "replace(r.metric, '_count', '_pct')"
+        bare = f"r -> r.metric in ({counts}) and r.subgroup in ({groups}) and r.value <= {whole} and {whole} > 0 and not exists({a}, x -> x.metric = {share} and x.subgroup = r.subgroup)"
+        made = f"r -> struct({share} as metric, 'percent' as unit, r.region, r.subgroup, r.scope, round(r.value / {whole} * 100, {digits}) as value)"
+        return f"concat({a}, transform(filter({a}, {bare}), {made}))"
 
-def compiled(mapper: Mapper, text: str, rank: int = 0) -> str:
-    """SQL for an array of (metric, unit, region, subgroup, scope, value, mapper_rank, mapper) from the column ``text``: a count and a share row for each rule; null values are dropped."""
-    items = [x for r in mapper.rules for x in (_item(r, "_count", "count", r.count, text), _item(r, "_pct", "percent", r.share, text)) if x]
-    number = rf"coalesce(try_cast(nullif(regexp_extract(regexp_replace(x.said, '[,%]', ''), r'\d+(?:\.\d+)?', 0), '') as double), try_element_at(map({_WORDS}), lower(trim(x.said))))"
-    row = f"struct(x.metric, x.unit, x.region, x.subgroup, x.scope, x.sign * {number} as value, {rank} as mapper_rank, '{mapper.name}' as mapper)"
-    return f"filter(transform(filter(array({', '.join(items)}), x -> x.said is not null), x -> {row}), r -> r.value is not null)"
+    return step
 
 
-def narrative(claims: DataFrame, mappers: tuple[Mapper, ...] = MAPPERS) -> DataFrame:
-    """Observations of claims (claim_id, page_index, claim_text, snippet): every mapper's rows, and of rows alike the first mapper's."""
+def counts_of(whole: str, parts: tuple[str, ...]) -> Callable[[str], str]:
+    """Shares of subgroups without a count get it from the count of the subgroup ``whole``."""
+    groups = ", ".join(f"'{p}'" for p in parts)
+
+    def step(a: str) -> str:
+        total = f"get(filter({a}, v -> v.unit = 'count' and v.subgroup = '{whole}'), 0).value"
+        bare = f"r -> r.unit = 'percent' and r.subgroup in ({groups}) and {total} is not null and not exists({a}, x -> x.unit = 'count' and x.subgroup = r.subgroup)"
+        return f"concat({a}, transform(filter({a}, {bare}), r -> struct(replace(r.metric, '_pct', '_count') as metric, 'count' as unit, r.region, r.subgroup, r.scope, round({total} * r.value / 100) as value)))"
+
+    return step
+
+
+def narrative(claims: DataFrame, topics: tuple[Mapper, ...]) -> DataFrame:
+    """Observations of claims: every topic's rows in order, and of rows alike the first. A projection; nothing is shuffled.
+
+    claims: claim_id, page_index, claim_text, snippet and, where known, year, metric_type and period_label. A topic without rules is
+    the place of the regional mentions.
+    """
+    missing = {c: F.lit(None).cast(t) for c, t in (("year", "int"), ("metric_type", "string"), ("period_label", "string")) if c not in claims.columns}
     text = texts.evidence(F.col("claim_text"), F.col("snippet"))
-    rows = claims.select("claim_id", "page_index", text.alias("evidence"), F.lower(text).alias("low"))
-    rows = rows.where(F.col("low").rlike("|".join(dict.fromkeys(w for m in mappers for w in m.markers))))  # most texts go here
-    gated = [f"if(low rlike '{'|'.join(m.markers)}'{' and page_index = 0' if m.first_page else ''}, {compiled(m, 'evidence', k)}, cast(array() as {_ROW}))" for k, m in enumerate(mappers)]
-    out = rows.select("claim_id", F.expr(f"inline(flatten(array({', '.join(gated)})))"))
-    return first_of(out, ["claim_id", "metric", "region", "subgroup", "scope"], F.asc("mapper_rank"), F.asc("value")).withColumn("observation_id", observation_id())
+    rows = claims.withColumns(missing).select("claim_id", "page_index", "year", "metric_type", "period_label", text.alias("evidence"), F.lower(text).alias("low"))
+    words = list(dict.fromkeys(w for m in topics for w in (*m.markers, *m.also)))
+    rows = markers.of_list(rows, "low", words, "__held").where(F.size("__held") > 0)  # most texts go here
+    rows = rows.withColumns({"base": metric_base(F.col("metric_type"), F.col("low")), "since": F.when(F.col("low").rlike(SINCE), "cumulative").otherwise("")})
+    holds = lambda ws: F.arrays_overlap("__held", F.array(*[F.lit(words.index(w)).cast("long") for w in ws]))
+    found = []
+    for m in topics:
+        gate = holds(m.markers) & (holds(m.also) if m.also else F.lit(True)) & ((F.col("page_index") == 0) if m.first_page else F.lit(True))
+        found.append(F.when(gate, F.expr(compiled(m, "evidence")) if m.rules else regional(F.col("evidence"), F.col("low"))).otherwise(F.expr(_NONE)))
+    key = lambda r: F.concat_ws("|", r["metric"], r["region"], r["subgroup"], r["scope"])
+    once = lambda a: F.transform(F.array(F.transform(a, key)), lambda keys: F.filter(a, lambda r, k: F.array_position(keys, key(r)) == k + 1))[0]
+    every = F.transform(F.array(F.flatten(F.array(*found))), once)[0]
+    return rows.select("claim_id", "period_label", F.inline(every)).withColumn("observation_id", observation_id())
 
 
-_ROW = "array<struct<metric: string, unit: string, region: string, subgroup: string, scope: string, value: double, mapper_rank: int, mapper: string>>"
+def metric_base(metric_type: Column, low: Column) -> Column:
+    """What a narrative counts where it doesn't say: deaths, new cases, else reported cases."""
+    return F.when(metric_type.eqNullSafe("deaths") | low.contains("reported deaths"), "reported_deaths").when(metric_type.eqNullSafe("new_cases") | low.rlike("newly diagnosed|newly reported|new hiv ab sero|sero-positive individuals"), "new_cases").otherwise("reported_cases")
+
+
+def regional(text: Column, low: Column) -> Column:
+    """Count and share rows of every region mentioned in any of the forms, once each."""
+    found = []
+    for pattern, region, count, share in REGION_FORMS:
+        part = lambda g, p=pattern: F.regexp_extract_all(text, F.lit(p), F.lit(g))
+        shares = part(share) if share else F.transform(part(region), lambda x: F.lit(None).cast("string"))
+        found.append(F.arrays_zip(part(region).alias("region"), part(count).alias("n"), shares.alias("pct")))
+    group = F.when(low.rlike(" ofw|ofws|overseas filipino workers|worked overseas"), "migrant_workers").otherwise("")
+    row = lambda m, suffix, unit, value: F.struct(F.concat(F.col("base"), F.lit(suffix)).alias("metric"), F.lit(unit).alias("unit"), region_code(m["region"]).alias("region"), group.alias("subgroup"), F.col("since").alias("scope"), value.cast("double").alias("value"))
+    rows = F.transform(F.array_distinct(F.flatten(F.array(*found))), lambda m: F.array(row(m, "_count", "count", numbers.integer(m["n"])), row(m, "_pct", "percent", numbers.decimal(m["pct"]))))
+    return F.filter(F.flatten(rows), lambda r: r["region"].isNotNull() & r["value"].isNotNull())
 
 
 def observation_id() -> Column:
@@ -176,12 +245,6 @@ def quick_facts(claims: DataFrame) -> DataFrame:
     return out.select("claim_id", F.split("__m", ":")[0].alias("metric"), F.split("__m", ":")[1].alias("subgroup"), "scope", numbers.dash_is_zero(F.col("cell")).alias("value")).where("value is not null")
 
 
-def consistent_diagnosed(wide: DataFrame) -> DataFrame:
-    """Diagnosed counts below those on treatment, or small counts beside a large share in late years, are no values."""
-    bad = (F.col("diagnosed") < F.col("on_art")) | ((F.col("year") >= 2020) & (F.col("diagnosed_pct") >= 50) & (F.col("diagnosed") < 50_000))
-    return wide.withColumn("diagnosed", F.when(~F.coalesce(bad, F.lit(False)), F.col("diagnosed")))
-
-
 def graph(claims: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Vertices (id, kind, name) and edges (src, dst, relation) of documents, diseases and metrics."""
     vertex = lambda column, kind: claims.where(F.col(column).isNotNull()).select(F.concat(F.lit(f"{kind}:"), F.col(column).cast("string")).alias("id"), F.lit(kind).alias("kind"), F.col(column).cast("string").alias("name"))

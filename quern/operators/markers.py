@@ -145,6 +145,21 @@ def _pass(texts: DataFrame, column: str, block: list[tuple[int, bytes]], name: s
 
 
 def of_list(texts: DataFrame, column: str, markers: list[str], name: str = "found") -> DataFrame:
-    """``contained`` for a short list; ids are places in it."""
-    rows = texts.sparkSession.createDataFrame(list(enumerate(markers)), "id long, marker string")
-    return contained(texts, column, rows, name)
+    """``contained`` for a list that the caller holds; ids are places in it."""
+    different: dict[str, int] = {}
+    for k, m in enumerate(markers):
+        if m is not None:
+            different.setdefault(m, k)
+    out, found, block, size = texts.drop(name), [], [], 0
+    for m, k in [*different.items(), ("", -1)]:
+        if block and (k < 0 or (size + len(m.encode())) * 4 * 128 > TABLE):
+            out = _pass(out, column, block, f"__m{len(found)}")
+            found, block, size = [*found, F.col(f"__m{len(found)}")], [], 0
+        if m:
+            block.append((k, m.encode()))
+            size += len(m.encode())
+    if "" in different:
+        found.append(F.array(F.lit(different[""]).cast("long")))
+    none = F.expr("cast(array() as array<bigint>)")
+    joined = F.array_sort(F.flatten(F.array(*found))) if found else none
+    return out.withColumn(name, F.when(F.col(column).isNotNull(), joined).otherwise(none)).select(*[c for c in texts.columns if c != name], name)

@@ -19,6 +19,7 @@ from .bulletins import BULLETINS
 
 # Categories and how they are read, codes of regions, labels of transmission tables.
 NARRATIVE = ("Quantitative Narrative", "Narrative Statistic", "general")
+REPORTS = ("surveillance_report", "situational_report")
 CODES = "NCR NIR CAR CARAGA BARMM ARMM".split()
 TRANSMISSION = {
     "mother-to-child": "mother_to_child_transmission", "needle prick injury": "needle_prick_injury_transmission", "injecting drug use": "needle_transmission", "blood/blood products": "blood_transmission", "sexual contact": "sexual_contact_cases",
@@ -183,12 +184,14 @@ def legacy_transmission(label: Column, text: Column, region: Column) -> Column:
 def observations(claims: DataFrame) -> DataFrame:
     """Observations of normalised claims: the first family that reads a table row speaks for it, narrative claims go to the narrative mappers.
 
-    claims: claim_id, filename, page_index, category, claim_text, row_label, raw_value, snippet, region, period_granularity, period_label.
+    Narratives speak only in surveillance and situation reports, quick facts only in monthly surveillance reports.
+
+    claims: claim_id, filename, document_type, page_index, category, claim_text, row_label, raw_value, snippet, region, year, metric_type, period_granularity, period_label.
     """
     category, label, region, text, values = (F.col(c) for c in ("category", "row_label", "region", "claim_text", "__cell_n"))
     cascade = lambda r, g: F.when(F.size(values) >= 10, series(mappers.CASCADE, values, r, g)).otherwise(series(mappers.CASCADE_COMPACT, values, r, g))
     none, row = F.lit(""), category == "Structured Table Row"
-    families = targeted() | {"facts": quick_facts(label, F.col("raw_value"), region), "transmission": legacy_transmission(label, evidence(text, F.col("snippet")), region)}
+    families = targeted() | {"facts": F.when((F.col("document_type") == "surveillance_report") & (F.col("period_granularity") == "month"), quick_facts(label, F.col("raw_value"), region)), "transmission": legacy_transmission(label, evidence(text, F.col("snippet")), region)}
     families = {name: F.when(row, rows) for name, rows in families.items()} | {
         "cascade": F.when(category.isin("Care Cascade Age Group", "Care Cascade Key Population"), cascade(region, label)).when(category == "Care Cascade Region", cascade(label, none)),
         "treatment": F.when(category == "Treatment Outcome", series(["alive_on_art", "dead", "lost_to_follow_up", "transferred_overseas", "stopped_treatment", "ever_enrolled_total", "lost_to_follow_up_rate"], values, label, none)),
@@ -197,7 +200,7 @@ def observations(claims: DataFrame) -> DataFrame:
     read = prepared(claims.where(~category.isin(*NARRATIVE))).withColumns({f"__f_{name}": rows for name, rows in families.items()})
     found = F.coalesce(*[F.when(F.size(f"__f_{name}") > 0, F.col(f"__f_{name}")) for name in families])
     rows = read.select("claim_id", "period_label", F.inline(found))
-    told = mappers.narrative(claims.where(category.isin(*NARRATIVE)), mappers.MAPPERS + BULLETINS).join(claims.select("claim_id", "period_label"), "claim_id")
+    told = mappers.narrative(claims.where(category.isin(*NARRATIVE) & F.col("document_type").isin(*REPORTS)), BULLETINS)
     out = rows.unionByName(told.select(*rows.columns)).where("value is not null")
     period = F.when(F.col("scope") == "cumulative", periods.cumulative_label(1984, F.col("period_label"))).otherwise(F.col("period_label"))
     return out.withColumn("period_label", period).withColumn("observation_id", mappers.observation_id())

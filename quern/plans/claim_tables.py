@@ -8,7 +8,7 @@ from ..operators import tables
 from .registry import query
 from .views_numbers import NUMS, nums, said
 
-_COLUMNS = {"filename": "hiv_sti_2024_q2.pdf", "page_index": 0, "category": "Structured Table Row", "row_label": "", "snippet": "", "region": "Unknown", "period_granularity": "quarter", "period_label": "2024 Q2"}
+_COLUMNS = {"filename": "hiv_sti_2024_q2.pdf", "page_index": 0, "category": "Structured Table Row", "row_label": "", "snippet": "", "region": "Unknown", "document_type": "surveillance_report", "year": 2024, "metric_type": "general", "period_granularity": "quarter", "period_label": "2024 Q2"}
 
 
 def _claims(spark, d, value, text="Table: x has values 1.", **columns):
@@ -84,7 +84,7 @@ def o2_cascade_by_age(spark, d):
 
 
 _MIXED = (
-    (0, dict(value=VL[0], row_label="Region IV-A"), VL[1]), (1, dict(value="{k} | {m} | {n}", row_label="Male"), [("reported_cases", "Unknown", "male", s, x) for s, x in (("month", "k"), ("year_to_date", "m"), ("cumulative", "n"))]),
+    (0, dict(value=VL[0], row_label="Region IV-A"), VL[1]), (1, dict(value="{k} | {m} | {n}", row_label="Male", period_granularity="month"), [("reported_cases", "Unknown", "male", s, x) for s, x in (("month", "k"), ("year_to_date", "m"), ("cumulative", "n"))]),
     (2, dict(value=_TEN, category="Care Cascade Region", row_label="7"), [(m, "7", "", "", x) for m, x in _CASCADE]),
     (3, dict(value="{n} | {m} | {p}%", text="Percent increase between December 2020 and 2025: Male has values 1.", row_label="20-24"), [("cases_2020", "Unknown", "20-24", "", "n"), ("cases_2025", "Unknown", "20-24", "", "m"), ("percent_increase", "Unknown", "20-24", "", "p")]),
     (4, dict(value="", text="Since 2011, a total of {n} diagnosed women were reported pregnant at the time of diagnosis.", category="Narrative Statistic"), [("pregnant_women_reported_count", "Philippines", "pregnant_women", "cumulative", "n")]),

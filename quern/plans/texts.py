@@ -9,6 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import numbers, text
+from ..operators.bulletins import BULLETINS
 from ..operators import chunks, classify, extract, mappers, quality, resolve
 from ..sources import readers, views
 from ..sources.views import LINES, OBS
@@ -237,20 +238,15 @@ def o19_regional_mentions(spark, d):
 
 
 @query(
-    "SELECT n_nationkey::BIGINT AS claim_id, metric, value::DOUBLE AS value FROM (UNPIVOT (SELECT n_nationkey, count(*) AS deaths_count, NULL AS x FROM nation JOIN customer ON c_nationkey = n_nationkey GROUP BY ALL) ON deaths_count INTO NAME metric VALUE value)",
-)
-def o10_narrative(spark, d):
-    n = views.table(spark, d, "nation").join(views.table(spark, d, "customer"), F.col("c_nationkey") == F.col("n_nationkey")).groupBy("n_nationkey").agg(F.count(F.lit(1)).alias("n"))
-    claims = n.select(F.col("n_nationkey").cast("long").alias("claim_id"), F.lit(0).alias("page_index"), F.concat(F.lit("In the quarter "), F.col("n").cast("string"), F.lit(" reported deaths were recorded.")).alias("claim_text"), F.lit("").alias("snippet"))
-    return mappers.narrative(claims).select("claim_id", "metric", "value")
-
-
-@query()
+    "SELECT doc_id, metric, '' AS subgroup, '' AS scope, value FROM (SELECT doc_id, unnest(['viral_load_tested_count', 'viral_load_tested_pct']) AS metric, unnest([n_chars::DOUBLE, (doc_id % 90 + 5)::DOUBLE]) AS value FROM documents WHERE n_chars IS NOT NULL AND doc_id IS NOT NULL)",
+)
 def o_narrative_of_documents(spark, d):
-    """Every narrative mapper over the sentences extracted from whole documents."""
-    s = chunks.sentences(views.table(spark, d, "documents"))
+    """Every narrative topic over every sentence of whole documents, each with a sentence of a bulletin after its prose."""
+    docs = views.table(spark, d, "documents")
+    more = F.concat(F.lit(".\nSo far "), F.format_number("n_chars", 0), F.lit(" ("), (F.pmod("doc_id", F.lit(90)) + 5).cast("string"), F.lit("%) PLHIV have been tested for viral load."))
+    s = chunks.sentences(docs.select("doc_id", F.concat(F.coalesce("text", F.lit("")), more).alias("text")))
     claims = s.select(F.concat_ws(":", "doc_id", "sentence_no").alias("claim_id"), F.lit(0).alias("page_index"), F.col("sentence").alias("claim_text"), F.lit("").alias("snippet"))
-    return mappers.narrative(claims).select("claim_id", "metric", "subgroup", "scope", "value")
+    return mappers.narrative(claims, BULLETINS).select(F.split("claim_id", ":")[0].cast("long").alias("doc_id"), "metric", "subgroup", "scope", "value")
 
 
 @query("SELECT src, dst, relation FROM (SELECT DISTINCT concat('document:', document_id) AS src, concat('metric:', metric) AS dst, 'reports' AS relation FROM obs UNION SELECT DISTINCT concat('document:', document_id), concat('disease:', subgroup), 'mentions' FROM obs)", OBS)

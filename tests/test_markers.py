@@ -15,7 +15,9 @@ def nested(texts, words):
 
 def ours(spark, texts, words):
     df = spark.createDataFrame([(k, t, 7) for k, t in enumerate(texts)], "id long, text string, found int").repartition(3)
-    rows = {r.id: list(r.found) for r in markers.of_list(df, "text", words).collect()}
+    table = spark.createDataFrame(list(enumerate(words)), "id long, marker string")
+    rows = {r.id: list(r.found) for r in markers.contained(df, "text", table).collect()}
+    assert rows == {r.id: list(r.found) for r in markers.of_list(df, "text", words).collect()}
     return [rows[k] for k in range(len(texts))]
 
 
