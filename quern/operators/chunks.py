@@ -98,11 +98,11 @@ def wrapped_lines(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
     return out.withColumn("line", F.regexp_replace(F.regexp_replace(text, r"-\n", ""), r"\n", " ")).drop("__p", "island")
 
 
-def labelled_blocks(rows: DataFrame, keys: list[str], order: str, is_label: Column, is_value: Column, most: int = 10, least: int = 5) -> DataFrame:
-    """label, values: a label line and the value lines after it, up to ``most``, kept with at least ``least``."""
+def labelled_blocks(rows: DataFrame, keys: list[str], order: str, is_label: Column, is_value: Column, most: int | None = None, least: int = 5) -> DataFrame:
+    """label, values: a label line and the value lines after it, all or the first ``most``, kept with at least ``least``."""
     marked = islands(rows.withColumn("__l", is_label).withColumn("__v", is_value), keys, order, F.col("__l")).where("island > 0")
     values = F.array_sort(F.collect_list(F.when(F.col("__v"), F.struct(F.col(order), F.col("line")))))
-    out = marked.groupBy(*keys, "island").agg(F.min_by("line", order).alias("label"), F.transform(F.slice(values, 1, most), lambda v: v["line"]).alias("values"))
+    out = marked.groupBy(*keys, "island").agg(F.min_by("line", order).alias("label"), F.transform(values if most is None else F.slice(values, 1, most), lambda v: v["line"]).alias("values"))
     return out.where(F.size("values") >= least)
 
 

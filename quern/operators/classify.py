@@ -131,3 +131,52 @@ def triage(pages: DataFrame) -> DataFrame:
         lambda x: x.isNotNull(),
     )
     return pages.withColumn("reasons", reasons).withColumn("needs_vision", F.size(reasons) > 0)
+
+
+# Families of review items by their reason, in order, with the markers of each (lower case); a pair needs one of either.
+_OFW = (" ofw", "ofws", "overseas filipino", "worked overseas")
+REVIEW_FAMILIES = {
+    "surveillance_narrative_needs_structuring": (
+        ("ofw_profile", _OFW), ("age_distribution", ("15-24 years old", "25-34 year age group", "35-49 year age group", "50 years old and above", "children less than 10", "adolescents aged 10-19", "age group")),
+        ("regional_distribution", ("top five regions", "most number of reported cases", "most number of newly diagnosed cases", "most number of newly reported cases")),
+        ("transmission_breakdown", ("predominant mode of transmission", "male to male sex", "male-male sex", "sexual contact remained", "mother-to-child transmission", "sharing of infected needles")),
+        ("historical_trend", ("first case of hiv infection", "since then, there have been", "annual number of deaths", "from 1984 to 2006")), ("treatment_program", ("viral load", "plhiv on art", "treatment coverage", "life-saving anti-retroviral therapy")),
+        ("testing_summary", ("testing services", "screening", "hiv testing", "reactive result")),
+    ),
+    "structured_table_mapping_needed": (
+        ("quick_facts_table", ("quick facts",)), ("mode_of_transmission_table", ("mode of hiv transmission", "types of sexual transmission", "mode of transmission", "male-male", "male-female", "mother-to-child", "sharing of infected needles"), ("has values",)),
+        ("regional_distribution_table", ("region of residence", "region of:", "care cascade region", "region number of %")), ("age_distribution_table", ("age", "y/o", "years old", "less than 15", "15-24", "25-34", "35-49", "50 years")),
+    ),
+    "policy_claim_needs_tagging": (
+        ("policy_rule", ("shall", "must", "only be released", "should undergo", "repeat hiv screening")), ("workplace_policy", ("workplace policy", "ilo code of practice", "compliance rates")),
+        ("policy_reference", ("ao ", "dc ", "dm ", "ra ", "ordinance", "mc 2013-29", "policy instrument")),
+    ),
+}
+FALLBACK_FAMILIES = {"surveillance_narrative_needs_structuring": "non_chart_context", "structured_table_mapping_needed": "ocr_scrambled_table", "policy_claim_needs_tagging": "background_policy_context"}
+
+
+def families(items: DataFrame, text: str = "text") -> DataFrame:
+    """Review items (review_reason, ``text``) with template_family and family_source: the first family of the reason whose markers stand
+    in the text (deterministic), scrambled tables, else the reason's own (fallback).
+
+    All markers of all reasons are found in one pass over the texts.
+    """
+    from . import markers
+
+    words = list(dict.fromkeys(w for rules in REVIEW_FAMILIES.values() for rule in rules for part in rule[1:] for w in part))
+    held = markers.of_list(items.withColumn("__low", F.lower(F.coalesce(F.col(text), F.lit("")))), "__low", words, "__held")
+    has = lambda part: F.arrays_overlap("__held", F.array(*[F.lit(words.index(w)).cast("long") for w in part]))
+    found = F.lit(None).cast("string")
+    for reason, rules in REVIEW_FAMILIES.items():
+        own = F.when(scrambled(F.col("__low")), "ocr_scrambled_table") if reason == "structured_table_mapping_needed" else F.lit(None).cast("string")
+        for name, *parts in reversed(rules):
+            own = F.when(reduce(lambda a, b: a & b, [has(p) for p in parts]), name).otherwise(own)
+        found = F.when(F.col("review_reason") == reason, own).otherwise(found)
+    rest = F.create_map(*[F.lit(x) for pair in FALLBACK_FAMILIES.items() for x in pair])
+    out = held.withColumn("__family", found)
+    return out.withColumn("template_family", F.coalesce("__family", rest[F.col("review_reason")], F.lit("unclassified"))).withColumn("family_source", F.when(F.col("__family").isNotNull(), "deterministic").otherwise("fallback")).drop("__low", "__held", "__family")
+
+
+def family_counts(enriched: DataFrame) -> DataFrame:
+    """How many items each family and source has."""
+    return enriched.groupBy("template_family", "family_source").agg(F.count(F.lit(1)).alias("n"))
