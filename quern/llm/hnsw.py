@@ -11,7 +11,7 @@ Scores are exact double-precision cosines of the original vectors; the graph onl
 
 Defined results: null vectors, zero vectors, and vectors with null or non-finite components take no part;
 vectors meet only vectors of the same length; rows with equal vec_id but different vectors are different
-candidates; exact repeats of a row count once; ties go to the smaller vec_id; an empty table gives no
+candidates, also for each other; exact repeats of a row count once; ties go to the smaller vec_id; an empty table gives no
 rows; other columns are ignored.
 """
 
@@ -271,7 +271,9 @@ def search_blocks(index: pd.DataFrame, asked: pd.DataFrame, k: int, beam: int) -
             q, score = np.repeat(q, n), np.repeat(score, n)
             member = members[np.repeat(starts[node] - np.concatenate([[0], np.cumsum(n)])[:-1], n) + np.arange(n.sum())]
             query = read(b.q_ids, np.int64)[q]
-            other = query != member
+            # the query's own row has its id and its vector; other rows of that id are candidates
+            other, at = query != member, np.flatnonzero(query == member)
+            other[at] = (queries[q[at]] != vectors[np.repeat(node, n)[at]]).any(1)
             q, score, member, query = q[other], score[other], member[other], query[other]
             order = np.lexsort((member, -score, q))
             q, score, member, query = q[order], score[order], member[order], query[order]
