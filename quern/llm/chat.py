@@ -15,7 +15,7 @@ and ``#`` are written ``\\b``, ``\\l`` and ``\\h`` (a colon in a role ``\\c``),
 ``</turn>`` can occur inside one, and unescaping gives back exactly what went in. The loss mask covers
 the text (not the marks) of assistant turns.
 
-Defined results: null text and null role are empty; a null conv_id is a conversation of its own; null
+Defined results: events of a message with equal seq count once, and its last event gives its turn and role (see ``fold_messages``); null text and null role are empty; a null conv_id is a conversation of its own; null
 turns come first; equal turns are ordered by role, then text; repeated rows are turns of their own;
 an empty log gives no rows.
 """
@@ -90,22 +90,46 @@ def _runs(batches: Iterable[pd.DataFrame], key: list[str]) -> Iterator[tuple[tup
     return itertools.groupby(rows, key=lambda r: tuple(None if x is None or x != x else x for x in r[:n]))
 
 
+def _settled(rows: Iterable) -> Iterator:
+    """Events in sequence, the last of those with equal seq."""
+    last = None
+    for r in rows:
+        if last is not None and not (r.seq == last.seq or pd.isna(r.seq) and pd.isna(last.seq)):
+            yield last
+        last = r
+    if last is not None:
+        yield last
+
+
 def fold_messages(events: DataFrame) -> DataFrame:
-    """conv_id, message, turn, role, text of every message in the log."""
+    """conv_id, message, turn, role, text of every message in the log.
+
+    An event counts once: of those with equal seq (null is one, before all others) the last by kind, text, turn and role
+    stands, so a replayed delta changes nothing. The message's turn and role are those of its last event.
+    """
     ids = [f"{c} {events.schema[c].dataType.simpleString()}" for c in ("conv_id", "message", "turn")]
+    columns = ["conv_id", "message", "turn", "role", "text"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out = []
-        for (conv, message, turn, role), rows in _runs(batches, ["conv_id", "message", "turn", "role"]):
-            out.append((conv, message, turn, role or "", fold((r.kind, r.text or "") for r in rows)))
+        for (conv, message), rows in _runs(batches, ["conv_id", "message"]):
+            last = None
+
+            def parts():
+                nonlocal last
+                for last in _settled(rows):  # noqa: B007, B023
+                    yield last.kind, last.text or ""
+
+            text = fold(parts())
+            out.append((conv, message, None if pd.isna(last.turn) else last.turn, last.role or "", text))
             if len(out) >= 1000:
-                yield _frame(out, ["conv_id", "message", "turn", "role", "text"])
+                yield _frame(out, columns)
                 out = []
         if out:
-            yield _frame(out, ["conv_id", "message", "turn", "role", "text"])
+            yield _frame(out, columns)
 
     log = events.select("conv_id", "message", "turn", "role", "kind", "text", "seq")
-    log = log.repartition("conv_id", "message").sortWithinPartitions("conv_id", "message", "turn", "role", "seq")
+    log = log.repartition("conv_id", "message").sortWithinPartitions("conv_id", "message", "seq", "kind", "text", "turn", "role")
     return log.mapInPandas(run, f"{', '.join(ids)}, role string, text string")
 
 

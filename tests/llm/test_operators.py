@@ -352,6 +352,25 @@ def test_chat_fold():
     assert chat.fold([("delta", "a"), ("delta", "b"), ("regenerate", ""), ("delta", "c"), ("edit", "d"), ("delta", "e")]) == "de"
 
 
+def test_chat_log_with_ties_repeats_and_contradictions(spark):
+    log = [
+        (1, 7, 0, "user", 1, "delta", "a"), (1, 7, 0, "user", 2, "delta", "b"), (1, 7, 0, "user", 2, "delta", "b"), (1, 7, 0, "user", 1, "delta", "a"),  # replayed
+        (1, 8, 1, "user", 1, "delta", "x"), (1, 8, 2, "assistant", 2, "delta", "y"),  # turn and role change on the way
+        (2, 7, 0, "user", 5, "delta", "p"), (2, 7, 0, "user", 5, "edit", "q"), (2, 7, 0, "user", 5, "delta", "z"),  # tied
+        (2, 9, None, None, None, "delta", "n"), (2, 9, None, None, 1, "delta", "o"), (None, None, 0, "user", 1, "delta", None),
+    ]
+    events = spark.createDataFrame(log, "conv_id long, message long, turn long, role string, seq long, kind string, text string").repartition(5)
+    got = {(r.conv_id, r.message): (r.turn, r.role, r.text) for r in chat.fold_messages(events).collect()}
+    assert got == {(1, 7): (0, "user", "ab"), (1, 8): (2, "assistant", "xy"), (2, 7): (0, "user", "q"), (2, 9): (None, "", "no"), (None, None): (0, "user", "")}
+
+
+def test_hnsw_leaves_out_the_querys_own_row_only(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.9, 0.1]), (0, [1.0, 0.0]), (1, [0.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r.query_id, r["rank"], r.vec_id, round(r.score, 3)) for r in hnsw.nearest(df, df.where("vec_id % 50 = 0")).collect())
+    assert got == [(0, 1, 0, 0.994), (0, 1, 0, 0.994), (0, 2, 1, 0.0), (0, 2, 1, 0.11)]
+
+
 def test_chat_edges(spark):
     rows = [(1, 1, "user", None), (1, None, None, "x"), (None, 0, "assistant", "y"), (1, 1, "user", None), (2, 0, "assistant", "z" * 200_000), (2, 0, "assistant", "a")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("place", F.lit(1))
