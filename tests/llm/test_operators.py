@@ -4,7 +4,7 @@ import hashlib
 import html
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
@@ -600,9 +600,34 @@ def test_mix_small_sources_reach_their_targets_beside_a_large_corpus(spark):
     key = lambda name: F.struct(F.lit(False).alias("isnull"), name.alias("name"))
     big = spark.range(800).select(F.col("id").alias("doc_id"), key(F.concat(F.lit("big"), F.col("id") % 4)).alias("skey"), F.lit(100_000).cast("long").alias("size"))
     tail = spark.range(3000).select((F.col("id") + 1000).alias("doc_id"), key(F.concat(F.lit("tail"), F.col("id") % 1000)).alias("skey"), (F.col("id") % 50 + 1).alias("size"))
-    got = mixing.mix_sized(big.unionByName(tail), mixing.SHARE, mixing.CAP, mixing.WEIGHTS, mixing.BLOCKS).toPandas()
+    rows = big.unionByName(tail).withColumn("h", F.md5(F.col("doc_id").cast("string")))
+    got = mixing.mix_sized(rows, mixing.SHARE, mixing.CAP, mixing.WEIGHTS, mixing.PER_SOURCE).toPandas()
     assert len(got) == 3800 and (got["taken"] <= 2 * got["size"]).all()
     for source, rows in got.groupby("source"):
         off = abs(rows["taken"].sum() - rows["target"].iloc[0])
         assert off <= (0.5 if source.startswith("tail") else 0.005 * rows["target"].iloc[0]), source
     assert got[got["source"].str.startswith("tail")].eval("taken == 2 * size").all()
+
+
+def test_schedule_gives_every_source_its_share_at_any_time(spark):
+    """The slots themselves: as many as ``mix`` counts, blocks in turn, and early slots divided like all of them."""
+    rows = [(False, f"s{k}", size, target) for k, (size, target) in enumerate([(50_000, 30_000.0), (7, 14.0), (9000, 18_000.0), (400, 1.3), (0, 0.0), (100_000, 12_345.6)])]
+    targets = spark.createDataFrame(rows, "isnull boolean, name string, source_size long, target double").select(F.struct("isnull", "name").alias("skey"), "source_size", "target")
+    stretched = mixing.stretches(targets, per_source=512)
+    of = {r.skey.name: r for r in stretched.collect()}
+    slots = [(r.time, r.skey.name, r["rank"], r.block) for r in mixing.schedule(stretched).orderBy("time").collect()]
+    assert len({t for t, *_ in slots}) == len(slots)
+    for name, r in of.items():
+        mine = [(k, b) for _, s, k, b in slots if s == name]
+        assert len(mine) == r.slots and abs(r.slots - r.target / r.block) < 1
+        assert mine == [(k, k % r.n_blocks) for k in range(r.slots)]
+    half = Counter(s for _, s, *_ in slots[: len(slots) // 2])
+    assert all(abs(half[name] - r.slots / 2) <= 12 for name, r in of.items())
+
+
+def test_mix_spreads_rows_without_doc_id(spark):
+    rows = [(None if k % 2 else 7, f"word{k} " * (k % 9 + 1), "a" if k % 3 else "b") for k in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(df).toPandas()
+    assert len(got) == 300 and (got["taken"] <= 2 * got["size"]).all()
+    assert all(abs(r["taken"].sum() - r["target"].iloc[0]) <= 1 for _, r in got.groupby("source"))
