@@ -123,3 +123,10 @@ def positioned_rows(words: DataFrame, keys: list[str], row_gap: float = 3.0, cel
     parts = rows.withColumn("__w", F.concat(lead_in, F.col("word")))
     ordered = F.array_sort(F.collect_list(F.struct("x0", "__w")))
     return parts.groupBy(*keys, "row_no").agg(F.array_join(F.transform(ordered, lambda p: p["__w"]), "").alias("row_text"))
+
+
+def month_tokens(text: Column) -> Column:
+    """Names of months in a text, in its order, in lower case."""
+    from ..functions.numbers import MONTHS
+
+    return F.regexp_extract_all(F.lower(text), F.lit(rf"\b({'|'.join(MONTHS)})\b"), F.lit(1))

@@ -100,3 +100,9 @@ def gate(features: DataFrame) -> DataFrame:
 
 def coverage_share(done: Column, total: Column) -> Column:
     return percent(done, total)
+
+
+def audit_summary(compared: DataFrame, tolerance: float = 0.1) -> DataFrame:
+    """One row of counts over comparisons (metric, year, value, local): how many, how many differ by more than the tolerance, of how many indicators and years."""
+    differs = F.abs(F.col("value") - F.col("local")) > tolerance * F.col("value")
+    return compared.agg(F.count(F.lit(1)).alias("compared"), F.count_if(differs).alias("differing"), F.countDistinct("metric").alias("indicators"), F.min("year").alias("first"), F.max("year").alias("last"))

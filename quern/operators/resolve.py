@@ -110,3 +110,26 @@ def canonical_by_hash(documents: DataFrame) -> DataFrame:
     """Alias documents with the newest document of the same content."""
     best = documents.groupBy("file_hash").agg(F.max("doc_id").alias("canonical_id"))
     return documents.join(best, "file_hash").where("doc_id != canonical_id").select("doc_id", "file_hash", "canonical_id")
+
+
+def aliases(rows: DataFrame, content: str, key: str) -> DataFrame:
+    """alias, canonical: every row whose content an earlier one (the smallest ``key``) has already."""
+    named = rows.where(F.col(content).isNotNull())
+    first = named.groupBy(content).agg(F.min(key).alias("canonical"))
+    return named.join(first, content).where(F.col(key) != F.col("canonical")).select(F.col(key).alias("alias"), "canonical")
+
+
+def appended(events: DataFrame, new: DataFrame) -> DataFrame:
+    """``events`` and the new rows after them; columns that these lack are null."""
+    return events.unionByName(new, allowMissingColumns=True).select(*events.columns)
+
+
+def listed(holders: DataFrame, items: DataFrame, ids: str, item: str, name: str) -> DataFrame:
+    """``holders`` with the items that their array ``ids`` names, in its order, as array ``name``; ids without an item are left out.
+
+    items: ``item`` (the id) and ``name``. holders need a column ``key``.
+    """
+    asked = holders.select("key", F.posexplode(ids).alias("__at", item))
+    found = asked.join(items.select(item, name), item).groupBy("key").agg(F.array_sort(F.collect_list(F.struct("__at", name))).alias("__found"))
+    none = F.expr("cast(array() as array<string>)")
+    return holders.join(found, "key", "left").withColumn(name, F.coalesce(F.transform("__found", lambda x: x[name].cast("string")), none)).drop("__found")

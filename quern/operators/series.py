@@ -113,3 +113,42 @@ def rolling_rate(events: DataFrame, keys: list[str], seconds: int) -> DataFrame:
 def spearman(df: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
     ranked = df.withColumn("__x", average_rank(x, keys)).withColumn("__y", average_rank(y, keys))
     return ranked.groupBy(*keys).agg(F.corr("__x", "__y").alias("rho"), F.count(F.lit(1)).alias("n"))
+
+
+def first_source(parts: list[DataFrame], keys: list[str]) -> DataFrame:
+    """Points of several sources, the first that has a key speaks; ``source`` is its place in the list."""
+    every = parts[0].withColumn("source", F.lit(0))
+    for k, part in enumerate(parts[1:], 1):
+        every = every.unionByName(part.select(*parts[0].columns).withColumn("source", F.lit(k)))
+    others = [c for c in parts[0].columns if c not in keys]
+    best = every.where("value is not null").groupBy(*keys).agg(F.min_by(F.struct(*others), F.struct("source", *others)).alias("__b"), F.min("source").alias("source"))
+    return best.select(*keys, *[F.col(f"__b.{c}").alias(c) for c in others], "source")
+
+
+def plausible_merge(structured: DataFrame, extracted: DataFrame, keys: list[str], low: float, high: float) -> DataFrame:
+    """Yearly points (year, sort_key, value), extracted ones let in year by year where they are plausible.
+
+    A year without a point takes one within 0.8 to 1.35 times the year before's, or within low to high where that has none; a point
+    gives way to a later one within 0.8 to 1.25 times its own. A series' years fit into one row.
+    """
+    point = F.struct("sort_key", "value")
+    rows = lambda df, name: df.where("value is not null").groupBy(*keys, "year").agg(F.max_by(point, F.struct("sort_key", "value")).alias("p")).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("year", "p"))).alias(name))
+    both = rows(structured, "__s").join(rows(extracted, "__e"), keys, "full")
+    none = lambda c: F.coalesce(c, F.slice(F.coalesce("__s", "__e"), 1, 0))
+
+    def step(known, e):
+        now, before = F.try_element_at(known, e["year"]), F.try_element_at(known, e["year"] - 1)
+        value = e["p"]["value"]
+        new = F.when(before.isNull(), value.between(low, high)).otherwise(value.between(before["value"] * 0.8, before["value"] * 1.35))
+        later = value.between(now["value"] * 0.8, now["value"] * 1.25) & (e["p"]["sort_key"] > now["sort_key"])
+        taken = F.when(now.isNull(), new).otherwise(later)
+        return F.when(taken, F.map_concat(F.map_filter(known, lambda y, _: y != e["year"]), F.map_from_arrays(F.array(e["year"]), F.array(e["p"])))).otherwise(known)
+
+    merged = F.aggregate(none(F.col("__e")), F.map_from_entries(none(F.col("__s"))), step)
+    return both.select(*keys, F.explode(merged).alias("year", "p")).select(*keys, "year", "p.sort_key", "p.value")
+
+
+def coverage_report(points: DataFrame, keys: list[str]) -> DataFrame:
+    """first and last year, number of points and the latest value, written with thousands, of each series."""
+    out = points.where("value is not null").groupBy(*keys).agg(F.min("year").alias("first"), F.max("year").alias("last"), F.count(F.lit(1)).alias("points"), F.max_by("value", "year").alias("latest"))
+    return out.select(*keys, F.concat_ws("-", "first", "last").alias("coverage"), "points", F.format_number("latest", 0).alias("latest"))

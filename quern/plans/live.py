@@ -53,14 +53,14 @@ def _yearly(spark, d) -> DataFrame:
 
 @query(
     """SELECT region, metric, string_agg(coalesce(seen, value)::VARCHAR, ',' ORDER BY year) AS vals,
-      coalesce(string_agg(year::VARCHAR, ',' ORDER BY year) FILTER (WHERE year >= last - 2 AND (region >= 'M' OR year > last - 1)), '') AS forecast_years,
-      string_agg(year::VARCHAR, ',' ORDER BY year) FILTER (WHERE year <= last - 3 OR region < 'M' AND year = last - 1) AS observed_years
-      FROM (SELECT y.*, last, CASE WHEN region < 'M' AND year = last - 1 THEN value + 7 END AS seen FROM yearly y, ends) GROUP BY 1, 2""",
+      coalesce(string_agg(year::VARCHAR, ',' ORDER BY year) FILTER (WHERE year >= last - 2 AND (NOT has OR year > last - 1)), '') AS forecast_years,
+      coalesce(string_agg(year::VARCHAR, ',' ORDER BY year) FILTER (WHERE year <= last - 3 OR has AND year = last - 1), '') AS observed_years
+      FROM (SELECT *, count(seen) OVER (PARTITION BY region, metric) > 0 AS has FROM (SELECT y.*, last, CASE WHEN region < 'NATION_2' AND year = last - 1 THEN value + 7 END AS seen FROM yearly y, ends)) GROUP BY 1, 2""",
     OBS,
     YEARLY,
 )
 def v11_observed_checkpoint(spark, d):
-    """The year before the last is observed in regions before M: it replaces the paths' value and the forecasts up to it."""
+    """The year before the last is observed in regions before NATION_2: it replaces the paths' value and the forecasts up to it."""
     yearly = _yearly(spark, d)
     last = yearly.agg(F.max("year").alias("last"))
     rows = yearly.join(last, F.lit(True))
@@ -69,7 +69,7 @@ def v11_observed_checkpoint(spark, d):
         F.array_sort(F.collect_list(point)).alias("p"), F.array_sort(F.collect_list(F.when(F.col("year") >= F.col("last") - 2, point))).alias("forecast"), F.array_sort(F.collect_list(F.when(F.col("year") <= F.col("last") - 3, F.col("year")))).alias("observed_years")
     )
     paths = paths.select("region", "metric", F.col("p.year").alias("years"), F.col("p.value").alias("values"), "forecast", "observed_years")
-    observed = rows.where("region < 'M' and year = last - 1").select("region", "metric", "year", (F.col("value") + 7).alias("value"))
+    observed = rows.where("region < 'NATION_2' and year = last - 1").select("region", "metric", "year", (F.col("value") + 7).alias("value"))
     joined = lambda c: F.array_join(F.col(c).cast("array<string>"), ",")
     out = draws.with_checkpoint(paths, observed, ["region", "metric"])
     return out.select("region", "metric", joined("values").alias("vals"), joined("forecast.year").alias("forecast_years"), joined("observed_years").alias("observed_years"))

@@ -198,7 +198,7 @@ def c6_policy_tags(spark, d):
     return policy.tags(claims).select("claim_id", *[f"policy_{s}" for s in _SLOTS], *[f"policy_{s}_from" for s in _SLOTS], "structured")
 
 
-YEARENDS = """ends AS (SELECT year, quarter, ascii(region) % 5 + 1 AS code, count(*) AS a, count(*) FILTER (WHERE unit = 'F') AS b, count(*) FILTER (WHERE unit = 'O') AS c FROM obs GROUP BY ALL),
+YEARENDS = """ends AS (SELECT year, quarter, ascii(right(region, 1)) % 5 + 1 AS code, count(*) AS a, count(*) FILTER (WHERE unit = 'F') AS b, count(*) FILTER (WHERE unit = 'O') AS c FROM obs GROUP BY ALL),
 kept AS (SELECT * FROM ends WHERE NOT (quarter = 4 AND year % 2 = 0)),
 last AS (SELECT e.* FROM kept e JOIN (SELECT year, max(quarter) AS quarter FROM kept GROUP BY 1) USING (year, quarter))"""
 
@@ -206,7 +206,7 @@ last AS (SELECT e.* FROM kept e JOIN (SELECT year, max(quarter) AS quarter FROM
 def _year_end(spark, d):
     """A file for each quarter with the region table; the fourth quarter's of even years can't be read."""
     o = views.observations(spark, d)
-    code = (F.ascii("region") % 5 + 1).cast("string")
+    code = (F.ascii(F.right("region", F.lit(1))) % 5 + 1).cast("string")
     cells = o.groupBy("year", "quarter", code.alias("code")).agg(F.count(F.lit(1)).alias("a"), F.count_if(F.col("unit") == "F").alias("b"), F.count_if(F.col("unit") == "O").alias("c"))
     line = F.concat_ws(" | ", "code", "a", "b", F.lit("5%"), "c", F.lit("7%"))
     title = F.when((F.col("quarter") == 4) & (F.col("year") % 2 == 0), "Unreadable").otherwise(blocks.TITLE)
@@ -223,8 +223,8 @@ def x13_year_end_tables(spark, d):
     return _year_end(spark, d).drop("month")
 
 
-LEAKAGE = """seen AS (SELECT year, (ascii(region) % 5 + 1)::VARCHAR AS region, CASE metric WHEN '1-URGENT' THEN 'alive' WHEN '2-HIGH' THEN 'ltfu' ELSE 'not_on_treatment' END AS metric, floor(value) AS value, sort_key, confidence FROM obs
-  WHERE metric IN ('1-URGENT', '2-HIGH', '3-MEDIUM') AND NOT (metric = '3-MEDIUM' AND year % 2 = 0) AND NOT (metric = '2-HIGH' AND ascii(region) % 5 = 1)),
+LEAKAGE = """seen AS (SELECT year, (ascii(right(region, 1)) % 5 + 1)::VARCHAR AS region, CASE metric WHEN '1-URGENT' THEN 'alive' WHEN '2-HIGH' THEN 'ltfu' ELSE 'not_on_treatment' END AS metric, floor(value) AS value, sort_key, confidence FROM obs
+  WHERE metric IN ('1-URGENT', '2-HIGH', '3-MEDIUM') AND NOT (metric = '3-MEDIUM' AND year % 2 = 0) AND NOT (metric = '2-HIGH' AND ascii(right(region, 1)) % 5 = 1)),
 best AS (SELECT year, region, metric, arg_max(value, (sort_key, confidence, value)) AS value, FALSE AS filled FROM seen GROUP BY 1, 2, 3),
 more AS (SELECT year, code::VARCHAR AS region, metric, value, TRUE AS filled FROM (SELECT year, code, unnest(['alive', 'ltfu', 'not_on_treatment']) AS metric, unnest([a, b, c])::DOUBLE AS value FROM last WHERE year % 4 <> 0)),
 every AS (SELECT * FROM best UNION ALL SELECT * FROM more WHERE NOT EXISTS (SELECT 1 FROM best b WHERE b.year = more.year AND b.region = more.region AND b.metric = more.metric)),
@@ -234,9 +234,9 @@ wide AS (SELECT year, region, max(value) FILTER (WHERE metric = 'alive') AS aliv
 @query("SELECT year, region, coalesce(alive, 0)::DOUBLE AS alive, coalesce(ltfu, 0)::DOUBLE AS ltfu, coalesce(n, 0)::DOUBLE AS not_on_treatment, proxy, n IS NULL AS missing_not_on_treatment, (coalesce(ltfu, 0) + coalesce(n, 0))::DOUBLE AS burden, row_number() OVER (PARTITION BY year ORDER BY coalesce(ltfu, 0) + coalesce(n, 0) DESC, region)::INTEGER AS place FROM wide", OBS, YEARENDS, LEAKAGE)
 def b12_leakage_by_year(spark, d):
     """Observed leakage, years that lack a metric filled from the year-end table (every fourth year has none), gaps flagged."""
-    o = views.observations(spark, d).where("metric in ('1-URGENT', '2-HIGH', '3-MEDIUM') and not (metric = '3-MEDIUM' and year % 2 = 0) and not (metric = '2-HIGH' and ascii(region) % 5 = 1)")
+    o = views.observations(spark, d).where("metric in ('1-URGENT', '2-HIGH', '3-MEDIUM') and not (metric = '3-MEDIUM' and year % 2 = 0) and not (metric = '2-HIGH' and ascii(right(region, 1)) % 5 = 1)")
     metric = F.when(F.col("metric") == "1-URGENT", "alive").when(F.col("metric") == "2-HIGH", "ltfu").otherwise("not_on_treatment")
-    seen = o.select("year", (F.ascii("region") % 5 + 1).cast("string").alias("region"), metric.alias("metric"), F.floor("value").cast("double").alias("value"), "sort_key", "confidence")
+    seen = o.select("year", (F.ascii(F.right("region", F.lit(1))) % 5 + 1).cast("string").alias("region"), metric.alias("metric"), F.floor("value").cast("double").alias("value"), "sort_key", "confidence")
     ends = _year_end(spark, d).where("year % 4 != 0").select("year", "region", F.col("on_art").alias("alive"), F.col("vl_tested").alias("ltfu"), F.col("vl_suppressed").alias("not_on_treatment"))
     return boards.leakage_by_year(seen, ends.unpivot(["year", "region"], ["alive", "ltfu", "not_on_treatment"], "metric", "value"))
 

@@ -88,3 +88,10 @@ def wide_to_long(df: DataFrame, ids: list[str], columns: list[str], name: str =
 def payload_rows(df: DataFrame, column: str, item: str) -> DataFrame:
     """Rows of a JSON array payload whose value is not null."""
     return df.select(F.inline(F.from_json(column, f"array<struct<{item}>>"))).where("value is not null")
+
+
+def official_series(rows: DataFrame, indicators: list[str], since: int = 2010, area: str | None = None, subgroup: str | None = None) -> DataFrame:
+    """Official long rows (indicator, year, value; area, subgroup where given): the indicators asked for, from a year on, of one area and subgroup, without nulls."""
+    kept = rows.where(F.col("indicator").isin(indicators) & (F.col("year") >= since) & F.col("value").isNotNull())
+    kept = kept if area is None else kept.where(F.col("area") == area)
+    return kept if subgroup is None else kept.where(F.col("subgroup") == subgroup)

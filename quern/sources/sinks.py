@@ -51,3 +51,10 @@ def markdown(df: DataFrame, formats: dict[str, str] | None = None) -> DataFrame:
     """Lines of a Markdown table; nulls are blank. For reports of a few rows."""
     cells = [F.coalesce(F.format_string((formats or {}).get(c, "%s"), F.col(c)) if c in (formats or {}) else F.col(c).cast("string"), F.lit("")) for c in df.columns]
     return df.select(F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |")).alias("value"))
+
+
+def stamps(claims: DataFrame, quarantine: DataFrame, generated_at: str) -> DataFrame:
+    """One row that an export carries: when it was made, how many claims it has, and how many of them are in quarantine."""
+    counted = claims.agg(F.count(F.lit(1)).alias("total_claims"), F.count_if(F.col("superseded_by_run_id").isNull()).alias("active_claims"))
+    held = quarantine.agg(F.count_if(~F.coalesce(F.col("resolved"), F.lit(False))).alias("quarantined"))
+    return counted.join(held, F.lit(True)).select(F.lit(generated_at).alias("generated_at"), "total_claims", "active_claims", "quarantined")
