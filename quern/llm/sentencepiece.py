@@ -17,6 +17,7 @@ ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import functools
+import hashlib
 import re
 import struct
 from array import array
@@ -25,7 +26,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ._common import table
 
@@ -126,12 +126,16 @@ class Words:
     def __init__(self, model):
         self.model = model
         self.known: dict[str, bytes] = {}
+        self.again: set[str] = set()  # asked for in more than one call
         self.space = array("i", [model.piece_to_id(SPACE)]).tobytes()
 
     def learn(self, stretches: set[str]) -> dict[str, bytes]:
         """A table that holds all of ``stretches``; those it lacked are encoded in one call."""
         if len(self.known) > MAX_WORDS:
-            self.known = {s: self.known[s] for s in stretches & self.known.keys()}
+            self.known = {s: self.known[s] for s in (self.again | stretches) & self.known.keys()}
+            if len(self.known) > MAX_WORDS // 2:  # too many come again: begin with those of this call
+                self.known, self.again = {s: self.known[s] for s in stretches & self.known.keys()}, set()
+        self.again |= stretches & self.known.keys()
         new = list(stretches - self.known.keys())
         # the library puts a space in front: it stands for the stretch's own, or is dropped before a line break
         ids = self.model.encode([s.removeprefix(SPACE).replace(SPACE, " ") for s in new], num_threads=1) if new else []
@@ -227,23 +231,35 @@ def encode(docs: DataFrame, model: bytes) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, OUT.format(id=id_type))
 
 
-def digests(encoded: DataFrame) -> DataFrame:
-    joined = lambda c: F.array_join(F.col(c).cast("array<string>"), ",")
-    return encoded.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(joined("ids"), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-        "begins",
-        "ends",
-        F.coalesce(F.element_at(F.when(F.size("ends") > 0, F.col("ends")), -1), F.lit(0)).alias("bytes_covered"),
-    )
+DIGESTS = "doc_id {id}, n_tokens long, ids_sha256 string, decoded_sha256 string, begins binary, ends binary, bytes_covered int"
+
+
+def digests(docs: DataFrame, model: bytes) -> DataFrame:
+    """doc_id, n_tokens, digests of the ids and the decoded text, and the pieces' byte spans packed as unsigned 32-bit numbers: what :func:`encode` gives, summed up where it is made."""
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sp = codec(shared.value)
+        said = pa.array([f"{i}," for i in range(len(sp.lengths))])
+        for batch in batches:
+            for low in range(0, batch.num_rows, 256):
+                part, rows = batch.slice(low, 256), []
+                for ids, begins, ends in sp.encode([t or "" for t in part.column("text").to_pylist()]):
+                    text = said.take(pa.array(ids, pa.int32())).buffers()[2]
+                    digest = [hashlib.sha256(x).hexdigest() for x in (text.to_pybytes()[:-1] if text else b"", sp.decode(ids).encode())]
+                    rows.append((len(ids), *digest, begins.astype("<u4").tobytes(), ends.astype("<u4").tobytes(), int(ends[-1]) if len(ends) else 0))
+                kinds = [pa.int64(), pa.string(), pa.string(), pa.binary(), pa.binary(), pa.int32()]
+                columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *columns], [f.split()[0] for f in DIGESTS.split(", ")])
+
+    return docs.select("doc_id", "text").mapInArrow(run, DIGESTS.format(id=id_type))
 
 
 def op8_piece_offsets(spark: SparkSession, sf_dir: str, model_path: str | None = None) -> DataFrame:
     import public_tokenizers
 
-    return digests(encode(table(spark, sf_dir, "documents"), read_model(model_path or public_tokenizers.path(MODEL))))
+    return digests(table(spark, sf_dir, "documents"), read_model(model_path or public_tokenizers.path(MODEL)))
 
 
 QUERIES = {"op8_piece_offsets": op8_piece_offsets}
