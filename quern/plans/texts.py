@@ -282,10 +282,10 @@ def _scratch(spark) -> str:
 
 
 def _events(spark, d):
-    """Events as a stream of the folder's files; a table that is one file is written to a folder first."""
-    source, at = views.table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp")), _scratch(spark)
-    source.write.parquet(f"{at}/in")
-    return intake.follow(spark, f"{at}/in", source.schema), at
+    """Events as a stream of the files where they lie, and a folder for what the query keeps."""
+    path = f"{d}/events.parquet"
+    stream = intake.follow(spark, path, spark.read.parquet(path).schema)
+    return stream.withColumn("ts", F.col("ts").cast("timestamp")), _scratch(spark)
 
 
 @query("SELECT event_id, event_type FROM events WHERE value > 50")
@@ -323,20 +323,11 @@ def y5_sessions(spark, d):
 
 @query("SELECT user_id, event_type, arg_max(event_id, (ts, event_id)) AS event_id FROM events GROUP BY ALL")
 def y6_upsert_sink(spark, d):
-    """Each batch's newest rows replace those of their key in the target, which is written anew under the batch's number."""
+    """Each batch's newest rows replace those of their key; only the buckets of the target that hold such keys are written anew."""
     stream, at = _events(spark, d)
-
-    def merge(batch, number):
-        fresh = resolve.newest(batch, ["user_id", "event_type"], "ts", "event_id").select("user_id", "event_type", "event_id", "ts")
-        if number:
-            old = batch.sparkSession.read.parquet(f"{at}/table/{number - 1}")
-            fresh = resolve.newest(old.unionByName(fresh), ["user_id", "event_type"], "ts", "event_id")
-        fresh.write.mode("overwrite").parquet(f"{at}/table/{number}")
-        last.append(number)
-
-    last: list[int] = []
-    intake.drain_to(stream, merge, f"{at}/log")
-    return spark.read.parquet(f"{at}/table/{max(last)}").select("user_id", "event_type", "event_id")
+    rows = stream.select("user_id", "event_type", "event_id", "ts")
+    intake.upsert_into(rows, f"{at}/table", f"{at}/log", ["user_id", "event_type"], ["ts", "event_id"])
+    return intake.upserted(spark, f"{at}/table", rows.schema).select("user_id", "event_type", "event_id")
 
 
 @query("SELECT event_id, ts < TIMESTAMP '2024-01-10' AS late FROM events")

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 
 def follow(spark: SparkSession, path: str, schema: StructType, files_at_once: int = 100) -> DataFrame:
@@ -75,6 +75,42 @@ def current_claims(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.parquet(f"{target}/claims").join(newest, ["doc_id", "run"], "left_semi")
 
 
+def upsert_into(rows: DataFrame, target: str, checkpoint: str, keys: list[str], order: list[str], buckets: int = 64) -> None:
+    """Drain a stream into a table that keeps the newest row (by ``order``) of each key, a null key being one.
+
+    The table is dealt by a hash of the key to buckets; a batch writes the buckets it touches, whole, under its own number, and
+    readers take each bucket's newest. A batch that comes again after a failure writes the same folder anew.
+    """
+    schema = rows.schema
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        fresh = batch.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")).persist()
+        try:
+            touched = [r.bucket for r in fresh.select("bucket").distinct().collect()]  # at most ``buckets``
+            old = upserted(spark, target, schema, number).where(F.col("bucket").isin(touched)) if touched else None
+            both = fresh if old is None else old.unionByName(fresh)
+            best = F.max_by(F.struct(*schema.names), F.struct(*order)).alias("r")
+            both.groupBy("bucket", *keys).agg(best).select("bucket", "r.*").write.mode("overwrite").partitionBy("bucket").parquet(f"{target}/batch={number}")
+        finally:
+            fresh.unpersist()
+
+    drain_to(rows, write, checkpoint)
+
+
+def upserted(spark: SparkSession, target: str, schema: StructType, before: int | None = None) -> DataFrame:
+    """Rows of the table that :func:`upsert_into` keeps, with their bucket; those before a batch if one is named."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        every = spark.read.schema(StructType([*schema.fields, StructField("batch", LongType()), StructField("bucket", IntegerType())])).parquet(target)
+    except AnalysisException:  # no batch yet
+        return spark.createDataFrame([], StructType([*schema.fields, StructField("bucket", IntegerType())]))
+    every = every if before is None else every.where(F.col("batch") < before)
+    newest = every.groupBy("bucket").agg(F.max("batch").alias("batch"))
+    return every.join(newest, ["bucket", "batch"], "left_semi").select(*schema.names, "bucket")
+
+
 def split_late(batch: DataFrame, stamp: str, horizon) -> tuple[DataFrame, DataFrame]:
     """Rows on time, and rows older than the horizon, which go to a side table instead of being dropped."""
     late = F.col(stamp) < F.lit(horizon)

@@ -1,5 +1,6 @@
 """Claims sink over restarts and failures, live stall flags, checkpoints in arrays, and releases that fail half way."""
 
+import random
 import time
 
 import pytest
@@ -141,3 +142,23 @@ def test_a_failed_release_leaves_the_old_one(spark, tmp_path):
     assert releases.read(spark, now, "b").first().v == "old"  # a feed not in the release stays
     assert releases.read(spark, pin, "a").first().v == "old"  # who pinned the first still reads it
     assert releases.pinned(spark, root, 1) == pin
+
+
+def test_upserts_touch_only_their_buckets(spark, tmp_path):
+    rng, rows = random.Random(5), []
+    (tmp_path / "in").mkdir()
+    for k in range(4):
+        batch = [(rng.choice([None, *range(40)]) if k < 3 else 7, k * 100 + i // 2, f"{k}-{i}") for i in range(30)]
+        rows += batch
+        df = spark.createDataFrame(batch, "key int, at int, say string").coalesce(1)
+        df.write.parquet(str(tmp_path / f"b{k}"))
+        (tmp_path / "in" / f"{k}.parquet").write_bytes(next((tmp_path / f"b{k}").glob("*.parquet")).read_bytes())
+        time.sleep(0.05)
+    stream = intake.follow(spark, str(tmp_path / "in"), df.schema, 1)
+    target = str(tmp_path / "table")
+    for _ in range(2):  # the second call finds nothing new
+        intake.upsert_into(stream, target, str(tmp_path / "log"), ["key"], ["at", "say"], 8)
+    want = {key: max((at, say) for k, at, say in rows if k == key) for key in {k for k, _, _ in rows}}
+    got = {r.key: (r["at"], r.say) for r in intake.upserted(spark, target, df.schema).collect()}
+    assert got == want
+    assert len(list((tmp_path / "table" / "batch=3").glob("bucket=*"))) == 1  # the last batch has one key
