@@ -89,16 +89,31 @@ class Automaton:
         return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
+#: Bytes of markers that come to the driver at once.
+COLLECTED = 4 << 20
+
+
 def _blocks(markers: DataFrame) -> Iterator[list[tuple[int, bytes]]]:
     """Markers (id, marker) in blocks whose automata fit into TABLE."""
     different = markers.where("marker is not null and marker != ''").groupBy("marker").agg(F.min("id").alias("id"))
     total = different.agg(F.coalesce(F.sum(F.octet_length("marker")), F.lit(0))).first()[0]
-    n = max(1, -(-total * 4 * 128 // TABLE))  # texts rarely have more than 128 different bytes
+    n = max(1, -(-total // COLLECTED))
     for k in range(n):
-        block = different.where(F.pmod(F.xxhash64("marker"), F.lit(n)) == k) if n > 1 else different
-        rows = [(r.id, r.marker.encode()) for r in block.collect()]
-        if rows:
-            yield rows
+        part = different.where(F.pmod(F.xxhash64("marker"), F.lit(n)) == k) if n > 1 else different
+        yield from _fitting([(r.id, r.marker.encode()) for r in part.collect()])
+
+
+def _fitting(rows: list[tuple[int, bytes]]) -> Iterator[list[tuple[int, bytes]]]:
+    """Rows cut where their automaton's table would grow over TABLE; a marker that is too long alone is one block."""
+    width, block, size = len(set(b"".join(m for _, m in rows))) + 1, [], 1
+    for row in rows:
+        if block and (size + len(row[1])) * 4 * width > TABLE:
+            yield block
+            block, size = [], 1
+        block.append(row)
+        size += len(row[1])
+    if block:
+        yield block
 
 
 def contained(texts: DataFrame, column: str, markers: DataFrame, name: str = "found") -> DataFrame:
@@ -150,14 +165,10 @@ def of_list(texts: DataFrame, column: str, markers: list[str], name: str = "foun
     for k, m in enumerate(markers):
         if m is not None:
             different.setdefault(m, k)
-    out, found, block, size = texts.drop(name), [], [], 0
-    for m, k in [*different.items(), ("", -1)]:
-        if block and (k < 0 or (size + len(m.encode())) * 4 * 128 > TABLE):
-            out = _pass(out, column, block, f"__m{len(found)}")
-            found, block, size = [*found, F.col(f"__m{len(found)}")], [], 0
-        if m:
-            block.append((k, m.encode()))
-            size += len(m.encode())
+    out, found = texts.drop(name), []
+    for block in _fitting([(k, m.encode()) for m, k in different.items() if m]):
+        out = _pass(out, column, block, f"__m{len(found)}")
+        found.append(F.col(f"__m{len(found)}"))
     if "" in different:
         found.append(F.array(F.lit(different[""]).cast("long")))
     none = F.expr("cast(array() as array<bigint>)")

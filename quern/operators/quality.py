@@ -17,17 +17,46 @@ def verbatim(pairs: DataFrame, source: str, snippet: str) -> DataFrame:
     return pairs.withColumn("exact", F.contains(collapse(F.col(source)), collapse(F.col(snippet)))).withColumn("loose", F.contains(alnum_key(F.col(source)), alnum_key(F.col(snippet))))
 
 
-def longest_common(a: str, b: str) -> int:
-    """Length of the longest common substring, by halving over its length with sets of shingles."""
-    low, high = 0, min(len(a), len(b))
-    while low < high:
-        mid = (low + high + 1) // 2
-        seen = {a[i : i + mid] for i in range(len(a) - mid + 1)}
-        if any(b[i : i + mid] in seen for i in range(len(b) - mid + 1)):
-            low = mid
-        else:
-            high = mid - 1
-    return low
+def suffix_automaton(text: str) -> tuple[list[dict[str, int]], list[int], list[int]]:
+    """States of all substrings of a text, at most two a character: where a character leads, the state of the longest shorter suffix, and the longest length."""
+    steps, link, size, last = [{}], [-1], [0], 0
+    for c in text:
+        now, at = len(steps), last
+        steps.append({})
+        link.append(0)
+        size.append(size[last] + 1)
+        while at >= 0 and c not in steps[at]:
+            steps[at][c] = now
+            at = link[at]
+        if at >= 0:
+            to = steps[at][c]
+            if size[at] + 1 != size[to]:  # longer substrings end there too: split
+                steps.append(dict(steps[to]))
+                link.append(link[to])
+                size.append(size[at] + 1)
+                copy = len(steps) - 1
+                link[to] = copy
+                while at >= 0 and steps[at].get(c) == to:
+                    steps[at][c] = copy
+                    at = link[at]
+                to = copy
+            link[now] = to
+        last = now
+    return steps, link, size
+
+
+def longest_common(a: str, b: str, automaton: tuple | None = None) -> int:
+    """Length of the longest common substring: one pass over ``a`` through the substrings of ``b``."""
+    steps, link, size = automaton or suffix_automaton(b)
+    at = length = best = 0
+    for c in a:
+        while at and c not in steps[at]:
+            at = link[at]
+            length = size[at]
+        if c in steps[at]:
+            at, length = steps[at][c], length + 1
+            best = max(best, length)
+    return best
 
 
 def fuzzy_share(source: Column, snippet: Column) -> Column:
@@ -36,7 +65,8 @@ def fuzzy_share(source: Column, snippet: Column) -> Column:
     @F.pandas_udf("double")
     def share(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for a, b in batches:
-            yield pd.Series([longest_common(x or "", y) / len(y) if y else 0.0 for x, y in zip(a, b, strict=True)])
+            made = {y: suffix_automaton(y) for y in set(b) if y}  # a snippet's once a batch
+            yield pd.Series([longest_common(x or "", y, made[y]) / len(y) if y else 0.0 for x, y in zip(a, b, strict=True)])
 
     return share(source, snippet)
 

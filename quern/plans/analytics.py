@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import numbers, periods, text
-from ..operators import classify, draws, quality, regional, series
+from ..operators import classify, draws, markers, quality, regional, series
 from ..sources import readers, views
 from ..sources.views import CLAIMS, DRAWS, OBS, OFFICIAL, REGISTRY
 from .registry import query
@@ -185,19 +185,12 @@ def q3_contract(spark, d):
 
 @query("SELECT item_id, doc_id FROM benchmark b JOIN documents d ON contains(lower(d.text), lower(b.text))")
 def q1_containment(spark, d):
-    """Passages in documents: candidates hold four whole words of the passage in a row, found by a join on their hash; then exact containment.
-
-    Words 1 to 4 of a passage are whole in a document too if a sixth follows; passages with fewer (or in other scripts) are tried on every document.
-    """
-    items = views.table(spark, d, "benchmark").select("item_id", F.lower("text").alias("passage"), _words(F.col("text")).alias("pw"))
-    docs = views.table(spark, d, "documents").select("doc_id", "text")
-    keyed = items.where(F.size("pw") >= 6).select("item_id", "passage", _four("pw", F.lit(1)).alias("key"))
-    grams = docs.select("doc_id", _words(F.col("text")).alias("w")).select("doc_id", F.explode(_fours("w")).alias("key"))
-    hits = grams.join(keyed, "key").select("doc_id", "item_id", "passage").distinct()
-    found = hits.join(docs, "doc_id").where(F.contains(F.lower("text"), "passage")).select("item_id", "doc_id")
-    few = items.where(F.size("pw") < 6).select("item_id", "passage")
-    tried = docs.select("doc_id", F.lower("text").alias("low")).join(F.broadcast(few), F.contains("low", "passage")).select("item_id", "doc_id")
-    return found.unionByName(tried).distinct()
+    """Passages in documents: all are found in one pass over each text, also common, short and equal ones."""
+    items = views.table(spark, d, "benchmark").select("item_id", F.lower("text").alias("passage")).where("passage is not null")
+    alike = items.groupBy("passage").agg(F.min("item_id").alias("id"))
+    docs = views.table(spark, d, "documents").select("doc_id", F.lower("text").alias("low"))
+    found = markers.contained(docs, "low", alike.select("id", F.col("passage").alias("marker"))).select("doc_id", F.explode("found").alias("id"))
+    return found.join(items.join(alike, "passage").select("item_id", "id"), "id").select("item_id", "doc_id").distinct()
 
 
 def _words(c):
