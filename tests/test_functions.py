@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quern.functions import numbers, periods, text
-from quern.operators import chunks, classify, draws, extract, mappers, quality, regional, resolve, search, series
+from quern.operators import bulletins, chunks, classify, draws, extract, mappers, quality, regional, resolve, search, series
 from quern.sources import readers, sinks
 
 
@@ -99,9 +99,9 @@ def test_treatment_outcomes_derive_the_rest(spark):
 
 
 def test_narrative_rules_and_first_page_gate(spark):
-    rows = [("a", 0, "120,000 (55%) PLHIV are currently on life-saving ART.", ""), ("b", 3, "120,000 (55%) PLHIV are currently on life-saving ART.", ""), ("c", 2, "There were 61 reported deaths: 40 (66%) were male.", None)]
-    got = {(r.claim_id, r.metric, r.subgroup): r.value for r in mappers.narrative(spark.createDataFrame(rows, "claim_id string, page_index int, claim_text string, snippet string")).collect()}
-    assert got == {("a", "plhiv_on_art_count", ""): 120000.0, ("a", "plhiv_on_art_pct", ""): 55.0, ("c", "deaths_count", ""): 61.0, ("c", "deaths_count", "male"): 40.0, ("c", "deaths_pct", "male"): 66.0}
+    rows = [("a", 0, "120,000 (55%) PLHIV are currently on life-saving ART.", ""), ("b", 3, "120,000 (55%) PLHIV are currently on life-saving ART.", ""), ("c", 2, "In May 2019, there were 61 reported deaths. Of these 66% (40) were male while 21 were female.", None)]
+    got = {(r.claim_id, r.metric, r.subgroup): r.value for r in mappers.narrative(spark.createDataFrame(rows, "claim_id string, page_index int, claim_text string, snippet string"), bulletins.BULLETINS).collect()}
+    assert got == {("a", "plhiv_on_art_count", ""): 120000.0, ("a", "plhiv_on_art_pct", ""): 55.0, **{("c", f"reported_deaths_{w}", g): v for g, n, p in (("", 61.0, None), ("male", 40.0, 66.0), ("female", 21.0, 34.4)) for w, v in (("count", n), ("pct", p)) if v}}
 
 
 def test_table_row_claims_carry_their_context(spark):
