@@ -355,10 +355,13 @@ def g1_page_paragraphs(spark, d):
     return pages.select("page_id", F.explode(F.regexp_extract_all("html", F.lit("<p>([^<]*)</p>"), F.lit(1)))).groupBy("page_id").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT page_id, len(regexp_extract_all(html, '<a\\s[^>]*?href=\"([^\"]*)\"[^>]*>([^<]*)</a>')) AS n FROM pages WHERE n > 0")
+@query(
+    "SELECT page_id, trim(replace(replace(replace(replace(replace(replace(replace(regexp_replace(label, '<[^>]*>', '', 'g'), '&#8211;', '-'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&#39;', chr(39)), '&amp;', '&'), ' ') AS label "
+    "FROM (SELECT page_id, unnest(regexp_extract_all(html, '(?s)<a[ \\t\\n\\x0B\\f\\r][^>]*?href=\"([^\"]*)\"[^>]*>(.*?)</a>', 2)) AS label FROM pages)"
+)
 def s8_link_labels(spark, d):
-    """Links with a plain label on every page; s8_all_link_labels has the labels."""
-    return readers.links(views.table(spark, d, "pages")).groupBy("page_id").agg(F.count(F.lit(1)).alias("n"))
+    """The label of every link of every page, markup out and entities decoded."""
+    return readers.links(views.table(spark, d, "pages")).select("page_id", "label")
 
 
 @query()

@@ -48,7 +48,7 @@ def whole_texts(spark: SparkSession, path: str) -> DataFrame:
 
 def anchors(html: Column) -> Column:
     """Array of (href, label) of the anchors of a page."""
-    pattern = r'<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>'
+    pattern = r'(?s)<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>'
     pairs = F.arrays_zip(F.regexp_extract_all(html, F.lit(pattern), F.lit(1)).alias("href"), F.regexp_extract_all(html, F.lit(pattern), F.lit(2)).alias("label"))
     return F.transform(pairs, lambda p: F.struct(p["href"].alias("href"), strip_markup(p["label"]).alias("label")))
 

@@ -4,7 +4,10 @@ import hashlib
 import re
 from collections import Counter
 
+import duckdb
+
 from quern.plans import QUERIES
+from quern.plans.registry import ORACLES
 
 TEXTS = {1: "One. Two! 3 three?", 2: "123 begins with digits. A. B.", 3: "Él dijo. Luego se fue.", 4: "Go. A! Then on.", 5: "  ", 6: None}
 HTML = """<a href="/a">Fish &amp; Chips</a><a class="x" href="/b">plain</a><a href="/c">a &lt; b</a><a href="/d"><b>R&amp;D</b></a>"""
@@ -31,6 +34,16 @@ def test_labels_with_entities(spark, tmp_path):
     assert sorted(r.label for r in QUERIES["s8_all_link_labels"](spark, str(tmp_path)).collect()) == ["Fish & Chips", "R&D", "a < b", "plain"]
 
 
+def test_link_labels_leave_no_link_out(spark, tmp_path):
+    more = """<a href="/e">two\nlines</a><a\thref="/f">&#8211; a &amp;lt; b&nbsp;</a><a href="/g"></a><a href="/h">plain</a>"""
+    spark.createDataFrame([(1, HTML), (2, more), (3, "no link"), (4, None)], "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = sorted(tuple(r) for r in QUERIES["s8_link_labels"](spark, str(tmp_path)).select("page_id", "label").collect())
+    assert got == [(1, "Fish & Chips"), (1, "R&D"), (1, "a < b"), (1, "plain"), (2, ""), (2, "- a &lt; b"), (2, "plain"), (2, "two\nlines")]
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    assert got == sorted(con.execute(f"SELECT page_id, label FROM ({ORACLES['s8_link_labels']})").fetchall())
+
+
 def test_chunks_of_every_document(spark, tmp_path):
     def packed(text):
         done, now = [], ""
