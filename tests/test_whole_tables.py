@@ -23,6 +23,15 @@ def test_postings_of_every_document(spark, tmp_path):
     assert got == Counter((w, k) for k, t in TEXTS.items() for w in re.split("[^a-z0-9]+", (t or "").lower()) if w)
 
 
+def test_postings_query_keeps_a_row_a_term_and_document(spark, tmp_path):
+    rows = QUERIES["z3_postings"](spark, documents(spark, tmp_path)).select("term", "doc_id", "tf").collect()
+    want = Counter((w, k) for k, t in TEXTS.items() for w in re.split("[^a-z0-9]+", (t or "").lower()) if w)
+    assert {(r.term, r.doc_id): r.tf for r in rows} == want and len(rows) == len(want)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert {(t, k): n for t, k, n in con.execute(f"SELECT term, doc_id, tf FROM ({ORACLES['z3_postings']})").fetchall()} == want
+
+
 def test_sentences_of_every_document(spark, tmp_path):
     got = {r.doc_id: r.n for r in QUERIES["g6_all_sentences"](spark, documents(spark, tmp_path)).collect()}
     want = {k: sum(bool(s.strip()) for s in re.split(r"(?<=[.!?])\s+(?=[A-Z0-9<(])", t or "")) for k, t in TEXTS.items()}
