@@ -8,14 +8,14 @@ its share; the slots of a source are ranked by time, and rank ``r`` takes block
 ``taken`` words are those of its text that lie in taken blocks, once for each time a block is taken.
 
 The points up to a power of two are all whole numbers, so a source's number of slots is the number of whole numbers
-on its stretch: less than one from its wish, for a source of any size. ``n`` slots have the ranks 0 to n - 1,
-so they take every block n div n_blocks times and the first n mod n_blocks once more: ``mix`` only needs that
-number; ``schedule`` gives the slots themselves.
+on its stretch: less than one from its wish, for a source of any size. ``mix`` makes the slots by ``schedule``, counts
+how often each block comes up in it (``taken_blocks``) and looks up the blocks in which a document begins and ends.
 
 Hot sources: the place of a document in its source is the sum of earlier hash-prefix buckets plus a
-running sum within its own bucket, so no task holds a whole source. The hash covers doc_id and text, so rows without a doc_id, or
-sharing one, are spread too; only rows alike in both meet. Tables with a row for each source or bucket are small: buckets grow
-with the square root of the documents.
+running sum within its own bucket, and blocks are looked up by source and number, so no task holds a
+whole source. The hash covers doc_id and text, so rows without a doc_id, or sharing one, are spread too; only rows alike in both meet. Tables with a row for each source or bucket are small: buckets grow
+with the square root of the documents. A source has fewer than
+2 * PER_SOURCE blocks and 4 * PER_SOURCE slots.
 
 Defined results: null text has size 0 and takes 0; a null source comes last; sources without words
 have target 0; repeated rows count each; an empty table gives no rows; other columns are ignored.
@@ -75,12 +75,20 @@ def schedule(stretched: DataFrame) -> DataFrame:
     """time, skey, rank, block: every slot of :func:`stretches`, ordered by ``time``; block is the number of the block it takes."""
     last = stretched.agg(F.coalesce(F.max(F.col("first") + F.col("slots")), F.lit(0))).first()[0]
     bits = max(1, int(max(1, last - 1)).bit_length())
-    slots = stretched.where("slots > 0").select("skey", "n_blocks", F.explode(F.sequence("first", F.col("first") + F.col("slots") - 1)).alias("slot"))
+    slots = stretched.where("slots > 0").repartition("skey").select("skey", "n_blocks", F.explode(F.sequence("first", F.col("first") + F.col("slots") - 1)).alias("slot"))
     slots = slots.withColumn("time", F.conv(F.reverse(F.lpad(F.bin("slot"), bits, "0")), 2, 10).cast("long"))
     ranked = slots.withColumn("rank", F.row_number().over(Window.partitionBy("skey").orderBy("time")) - 1)
     return ranked.select("time", "skey", "rank", (F.col("rank") % F.col("n_blocks")).alias("block"))
 
 
+def taken_blocks(stretched: DataFrame) -> DataFrame:
+    """skey, at, times, earlier: for every block ``at`` of :func:`stretches`, how often :func:`schedule` takes it, and the blocks before it together."""
+    none = stretched.repartition("skey").select("skey", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)).alias("at"), F.lit(0).cast("long").alias("times"))
+    took = schedule(stretched).select("skey", F.col("block").alias("at"), F.lit(1).cast("long").alias("times"))
+    times = none.unionByName(took).groupBy("skey", "at").agg(F.sum("times").alias("times"))
+    return times.withColumn("earlier", F.coalesce(F.sum("times").over(before(["skey"], ["at"])), F.lit(0)))
+
+
 def mix(docs: DataFrame, share: float = SHARE, cap: int = CAP, weights: tuple[int, ...] = WEIGHTS, per_source: int = PER_SOURCE) -> DataFrame:
     """doc_id, size, source, source_size, target, taken for every row of ``docs`` (doc_id, text, source)."""
     key = F.struct(F.col("source").isNull().alias("isnull"), F.coalesce("source", F.lit("")).alias("name"))
@@ -100,14 +108,24 @@ def mix_sized(sizes: DataFrame, share: float, cap: int, weights: tuple[int, ...]
     within = F.coalesce(F.sum("size").over(before(["skey", "bucket"], ["h", "doc_id", "size"])), F.lit(0))
     # doc_id and size settle equal hashes; rows alike in both are the same row to the mix
     rows = rows.withColumn("within", within).join(sums, ["skey", "bucket"]).withColumn("lo", F.col("first") + F.col("within"))
-    dealt = stretches(targets, cap, per_source)
-    dealt = dealt.select("skey", "source_size", "target", F.expr("slots div n_blocks").alias("rounds"), (F.col("slots") % F.col("n_blocks") * F.col("block")).alias("more"))
-    again = F.greatest(F.least("size", F.col("more") - F.col("lo")), F.lit(0))
+    stretched = stretches(targets, cap, per_source)
+    blocks = store(taken_blocks(stretched), "mix-blocks")
+    dealt = stretched.select("skey", "source_size", "target", "block")
     # a hot source isn't dealt to one task for its own row of targets
     dealt = F.broadcast(dealt) if targets.count() <= FEW_SOURCES else dealt
-    return rows.join(dealt, "skey").select(
-        "doc_id", "size", F.when(~F.col("skey.isnull"), F.col("skey.name")).alias("source"), "source_size", "target", (F.col("rounds") * F.col("size") + again).alias("taken")
-    )
+    rows = rows.join(dealt, "skey").withColumn("hi", F.col("lo") + F.col("size"))
+    # rows without words take nothing: they get numbers that no block has, spread by their hash
+    for end, word in (("first", "lo"), ("last", "hi - 1")):
+        rows = rows.withColumn(f"{end}_at", F.expr(f"if(size > 0, ({word}) div block, -1 - crc32(h))"))
+        ends = blocks.select("skey", F.col("at").alias(f"{end}_at"), F.col("times").alias(f"{end}_times"), F.col("earlier").alias(f"{end}_earlier"))
+        rows = rows.join(ends.hint("merge"), ["skey", f"{end}_at"], "left")
+
+    def upto(end: str, word: str):
+        """Words taken of the source's words before ``word``."""
+        return F.col(f"{end}_earlier") * F.col("block") + (F.col(word) - F.col(f"{end}_at") * F.col("block")) * F.col(f"{end}_times")
+
+    taken = F.when(F.col("size") > 0, upto("last", "hi") - upto("first", "lo")).otherwise(0).cast("long")
+    return rows.select("doc_id", "size", F.when(~F.col("skey.isnull"), F.col("skey.name")).alias("source"), "source_size", "target", taken.alias("taken"))
 
 
 def repeated(docs: DataFrame) -> DataFrame:

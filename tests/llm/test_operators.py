@@ -631,3 +631,27 @@ def test_mix_spreads_rows_without_doc_id(spark):
     got = mixing.mix(df).toPandas()
     assert len(got) == 300 and (got["taken"] <= 2 * got["size"]).all()
     assert all(abs(r["taken"].sum() - r["target"].iloc[0]) <= 1 for _, r in got.groupby("source"))
+
+
+def test_mix_takes_the_blocks_of_its_schedule(spark, monkeypatch):
+    """With another schedule the mix is another: it takes what the slots name, word by word."""
+    rows = [(k, f"w{k} " * (k * 7 % 60), "abc"[k % 7 % 3]) for k in range(240)]
+    plain, slots = mixing.schedule, []
+
+    def backwards(stretched):
+        n = stretched.select("skey", "n_blocks", "block").withColumnRenamed("block", "words")
+        turned = plain(stretched).join(n, "skey").withColumn("block", F.col("n_blocks") - 1 - F.col("block"))
+        slots.extend(turned.collect())
+        return turned.drop("n_blocks", "words")
+
+    monkeypatch.setattr(mixing, "schedule", backwards)
+    got = {r.doc_id: r.taken for r in mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), per_source=16).collect()}
+    want = {}
+    for name in "abc":
+        times, words = Counter(r.block for r in slots if r.skey.name == name), next((r.words for r in slots if r.skey.name == name), 1)
+        mark = lambda k, t: hashlib.md5(f"{k}:{hashlib.md5(t.encode()).hexdigest()}".encode()).hexdigest()
+        lo = 0
+        for k, t, _ in sorted((r for r in rows if r[2] == name), key=lambda r: mark(*r[:2])):
+            want[k] = sum(times[i // words] for i in range(lo, lo + len(t.split())))
+            lo += len(t.split())
+    assert got == want and any(want.values())
