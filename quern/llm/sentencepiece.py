@@ -16,6 +16,7 @@ ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import hashlib
 import re
@@ -143,6 +144,9 @@ class Words:
             self.known[s] = self.space if s == SPACE else array("i", got if s[0] == SPACE else got[1:]).tobytes()
         return self.known
 
+    def forget(self) -> None:
+        self.known, self.again = {}, set()
+
 
 class Codec:
     """A model with its normaliser; one per Python worker and model.
@@ -203,6 +207,17 @@ def codec(model: bytes) -> Codec:
     return Codec(model)
 
 
+@contextlib.contextmanager
+def one_task(model: bytes) -> Iterator[Codec]:
+    """The worker's codec for one task. Idle workers stay beside later stages, so what was remembered goes with the task."""
+    sp = codec(model)
+    try:
+        yield sp
+    finally:
+        sp.words.forget()
+        pa.default_memory_pool().release_unused()
+
+
 def read_model(path: str) -> bytes:
     with open(path, "rb") as f:
         return f.read()
@@ -217,16 +232,16 @@ def encode(docs: DataFrame, model: bytes) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sp = codec(shared.value)
-        for batch in batches:
-            # a few rows at a time: an id list is several times its text
-            for low in range(0, batch.num_rows, 256):
-                part = batch.slice(low, 256)
-                rows = sp.encode([t or "" for t in part.column("text").to_pylist()])
-                offsets = pa.array(np.cumsum([0, *(len(r[0]) for r in rows)]), pa.int32())
-                lists = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([r[k] for r in rows]), pa.int32())) for k in range(3)]
-                decoded = pa.array([sp.decode(r[0]) for r in rows], pa.string())
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *lists, decoded], ["doc_id", "ids", "begins", "ends", "decoded"])
+        with one_task(shared.value) as sp:
+            for batch in batches:
+                # a few rows at a time: an id list is several times its text
+                for low in range(0, batch.num_rows, 256):
+                    part = batch.slice(low, 256)
+                    rows = sp.encode([t or "" for t in part.column("text").to_pylist()])
+                    offsets = pa.array(np.cumsum([0, *(len(r[0]) for r in rows)]), pa.int32())
+                    lists = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([r[k] for r in rows]), pa.int32())) for k in range(3)]
+                    decoded = pa.array([sp.decode(r[0]) for r in rows], pa.string())
+                    yield pa.RecordBatch.from_arrays([part.column("doc_id"), *lists, decoded], ["doc_id", "ids", "begins", "ends", "decoded"])
 
     return docs.select("doc_id", "text").mapInArrow(run, OUT.format(id=id_type))
 
