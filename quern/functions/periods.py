@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .numbers import MONTHS, matched
+from .numbers import MONTHS, let, matched
 
 # Month names and their three-letter forms.
 MONTH_NUMBERS = {m: k for k, m in enumerate(MONTHS, 1)} | {m[:3]: k for k, m in enumerate(MONTHS, 1)}
-_QUARTERS = {1: "Q1", 4: "Q2", 7: "Q3", 10: "Q4"}
+_QUARTERS = {months: f"Q{q}" for q in range(1, 5) for months in (f"{q * 3 - 2},{q * 3 - 1},{q * 3}", f"{q * 3 - 2},{q * 3}")}
 
 
 def year(*texts: Column) -> Column:
@@ -26,23 +26,16 @@ def month_numbers(text: Column) -> Column:
 
 def month(*texts: Column) -> Column:
     """The month of the first text that names exactly one."""
-    return F.coalesce(*[F.when(F.size(month_numbers(t)) == 1, F.get(month_numbers(t), 0)) for t in texts])
+    return F.coalesce(*[let(month_numbers(t), lambda found: F.when(F.size(found) == 1, F.get(found, 0))) for t in texts])
 
 
 def quarter(*texts: Column) -> Column:
     """``Qn``, or the quarter whose three months (or whose first and last) a text names."""
-    out = []
-    for t in texts:
-        found = F.array_distinct(month_numbers(t))
-        ordered, first, last = F.array_sort(found), F.get(found, 0), F.element_at(found, -1)
-        ranges = F.lit(None).cast("string")
-        for start, name in _QUARTERS.items():
-            whole = ordered == F.array(*[F.lit(start + k) for k in range(3)])
-            ends = (F.size(found) == 2) & (first == start) & (last == start + 2)
-            ranges = F.when(whole | ends, name).otherwise(ranges)
-        named = F.concat(F.lit("Q"), matched(t, r"(?i)(?<![A-Za-z0-9])Q([1-4])(?!\d)", 1))
-        out += [named, F.when(F.size(found) >= 2, ranges)]
-    return F.coalesce(*out)
+    quarters = F.create_map(*[F.lit(x) for pair in _QUARTERS.items() for x in pair])
+    # three months in any order, two in the text's
+    ranges = lambda found: quarters[F.array_join(F.when(F.size(found) == 3, F.array_sort(found)).otherwise(found).cast("array<string>"), ",")]
+    of = lambda t: F.coalesce(F.concat(F.lit("Q"), matched(t, r"(?i)(?<![A-Za-z0-9])Q([1-4])(?!\d)", 1)), let(F.array_distinct(month_numbers(t)), ranges))
+    return F.coalesce(*[let(t, of) for t in texts])
 
 
 def granularity(year_: Column, quarter_: Column, month_: Column) -> Column:
@@ -50,24 +43,30 @@ def granularity(year_: Column, quarter_: Column, month_: Column) -> Column:
 
 
 def label(year_: Column, quarter_: Column, month_: Column) -> Column:
-    y = year_.cast("string")
-    return (
-        F.when(quarter_.isNotNull(), F.concat_ws(" ", y, quarter_)).when(year_.isNotNull() & month_.isNotNull(), F.format_string("%d-%02d", year_, month_)).otherwise(F.coalesce(y, F.lit("")))
-    )
+    def of(p):
+        y = p["y"].cast("string")
+        return F.when(p["q"].isNotNull(), F.concat_ws(" ", y, p["q"])).when(p["y"].isNotNull() & p["m"].isNotNull(), F.format_string("%d-%02d", p["y"], p["m"])).otherwise(F.coalesce(y, F.lit("")))
+
+    return let(F.struct(year_.alias("y"), quarter_.alias("q"), month_.alias("m")), of)
 
 
 def sort_key(label_: Column) -> Column:
     """year * 100 + last month of the label's period; a label's last year counts."""
-    years = F.regexp_extract_all(label_, F.lit(r"(?:19|20)\d{2}"), F.lit(0))
-    y = F.element_at(F.when(F.size(years) > 0, years), -1).try_cast("int")
-    q, m = matched(label_, r"Q([1-4])", 1).try_cast("int"), matched(label_, r"\d{4}-(\d{2})$", 1).try_cast("int")
-    return y * 100 + F.coalesce(q * 3, m, F.lit(12))
+
+    def of(x):
+        y = let(F.regexp_extract_all(x, F.lit(r"(?:19|20)\d{2}"), F.lit(0)), lambda years: F.get(years, F.size(years) - 1)).try_cast("int")
+        q, m = matched(x, r"Q([1-4])", 1).try_cast("int"), matched(x, r"\d{4}-(\d{2})$", 1).try_cast("int")
+        return y * 100 + F.coalesce(q * 3, m, F.lit(12))
+
+    return let(label_, of)
 
 
 def decimal_year(label_: Column) -> Column:
-    key = sort_key(label_)
-    y, m = F.floor(key / 100), key % 100
-    return y + F.when(label_.rlike("Q[1-4]"), (m / 3 - 1) / 4).when(label_.rlike(r"\d{4}-\d{2}$"), (m - 1) / 12).otherwise(F.lit(0.0))
+    def of(x, key):
+        y, m = F.floor(key / 100), key % 100
+        return y + F.when(x.rlike("Q[1-4]"), (m / 3 - 1) / 4).when(x.rlike(r"\d{4}-\d{2}$"), (m - 1) / 12).otherwise(F.lit(0.0))
+
+    return let(label_, lambda x: let(sort_key(x), lambda key: of(x, key)))
 
 
 def from_decimal_year(x: Column, granularity_: Column) -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import numbers, periods
+from ..functions.numbers import let
 from ..functions.text import evidence
 from . import classify, extract, mappers
 from .bulletins import BULLETINS
@@ -110,11 +111,6 @@ def kinds(tokens: Column) -> Column:
     return F.array_join(F.transform(tokens, lambda t: F.when(is_percent(t), "p").when(is_count(t), "c").when(code_of(t).isNotNull(), "r").otherwise("x")), "")
 
 
-def let(value: Column, use) -> Column:
-    """``use(x)`` with ``value`` computed once."""
-    return F.transform(F.array(value), lambda x: use(x))[0]
-
-
 def read_tokens(df: DataFrame, name: str, tokens: Column) -> DataFrame:
     """Columns ``name``_t (tokens), ``name``_w (their kinds as a word) and ``name``_n (their numbers), which the layouts look at many times."""
     df = df.withColumn(f"{name}_t", tokens)

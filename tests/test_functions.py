@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quern.functions import numbers, periods, text
 from quern.operators import bulletins, chunks, classify, draws, extract, mappers, quality, regional, resolve, search, series
+from quern.plans import QUERIES
 from quern.sources import readers, sinks
 
 
@@ -26,6 +27,16 @@ def test_periods(spark, name, year, quarter, month, label, key):
     assert (r.y, r.q, r.m, r.l, r.k) == (year, quarter, month, label, key)
 
 
+@pytest.mark.parametrize(("said", "quarter"), [("Mar_Feb_Jan", "Q1"), ("Oct-Dec", "Q4"), ("Dec-Oct", None), ("jan feb mar apr", None), ("May q3", "Q3"), (None, None)])
+def test_quarters_of_months(spark, said, quarter):
+    assert one(spark, periods.quarter(F.col("t")), t=(said, "string")) == quarter
+
+
+def test_periods_read_months_once_a_text(spark, sf):
+    plan = QUERIES["d_periods"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("translate(") == 2  # for the quarter and for the month
+
+
 def test_cumulative_label_sorts_by_its_last_year(spark):
     assert one(spark, periods.sort_key(F.col("t")), t=("1984-2026 Q1", "string")) == 202603
 
