@@ -163,7 +163,7 @@ def c12_scrambled(spark, d):
 
 @query("SELECT doc_id, CASE WHEN regexp_matches(text, '(?i)\\b(?:hospital|street|avenue|building|road|rd\\.|drive|room)\\b|\\b(?:telephone|mobile|fax|email|website|facebook)\\b|\\b[0-9]{7,}\\b|\\b[0-9]{3}\\s*/\\s*[0-9]{8,}\\b') THEN 'artifact' ELSE 'text' END AS kind FROM documents")
 def c9_artifact(spark, d):
-    return views.table(spark, d, "documents").select("doc_id", F.when(classify.is_artifact(F.col("text")), "artifact").otherwise("text").alias("kind"))
+    return views.table(spark, d, "documents").select("doc_id", F.when(classify.artifact_words(F.col("text")), "artifact").otherwise("text").alias("kind"))
 
 
 @query()

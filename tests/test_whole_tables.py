@@ -66,3 +66,14 @@ def test_chunks_of_every_document(spark, tmp_path):
     got = {(r.doc_id, r.chunk_no): (r.n, r.digest) for r in QUERIES["g2_chunks"](spark, str(tmp_path)).collect()}
     want = {(k, i): (len(c), hashlib.md5(c.encode()).hexdigest()) for k, t in texts.items() if t is not None for i, c in enumerate(packed(t))}
     assert got == want and sum(k == 2 for k, _ in want) > 40
+
+
+def test_artifacts_beside_letters_that_are_not_ascii(spark, tmp_path):
+    artifacts = ["a ROOM.", "éroom", "roomé 1", "1234567é", "ñ1234567ñ", "rd.x", "a\u017ftreet", "webſite", "facebook", "faceboo\u212as", "room\u0301", "🙂fax", "123 / 12345678"]
+    others = ["rooms", "_room", "rd. x", "rd.é", "\u017ftreet", "faceboo\u212a", "hosp\u0131tal", "123456", "123456７", "a1234567", "", "   ", "\t\n", None]
+    spark.createDataFrame(list(enumerate(artifacts + others)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.kind for r in QUERIES["c9_artifact"](spark, str(tmp_path)).collect()}
+    assert got == {k: "artifact" if k < len(artifacts) else "text" for k in range(len(artifacts + others))}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert got == dict(con.execute(f"SELECT doc_id, kind FROM ({ORACLES['c9_artifact']})").fetchall())
