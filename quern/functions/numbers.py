@@ -68,6 +68,11 @@ def is_reference(text: Column, number: Column) -> Column:
     return F.coalesce(whole & (dated | cited), F.lit(False))
 
 
+def rounded(x: Column, digits: int = 0) -> Column:
+    """Rounded as SQL engines do, by the product with a power of ten, halves away from zero; Spark's own ``round`` takes the shortest decimal that a double prints as."""
+    return F.round(x * 10.0**digits) / 10.0**digits
+
+
 def percent(part: Column, whole: Column, digits: int = 1) -> Column:
     """Rounded share in percent; null where either is null or 0."""
     return F.round(F.try_divide(F.nullif(part, F.lit(0)), F.nullif(whole, F.lit(0))) * 100, digits)

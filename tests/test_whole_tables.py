@@ -77,3 +77,15 @@ def test_artifacts_beside_letters_that_are_not_ascii(spark, tmp_path):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
     assert got == dict(con.execute(f"SELECT doc_id, kind FROM ({ORACLES['c9_artifact']})").fetchall())
+
+
+def test_numbers_of_orders_at_the_edge_of_rounding(spark, tmp_path):
+    prices = [209150.0, 484050.0, 209149.99, 50.0, 1950.5, 0.0, 0.4, -0.5, -1234.5, None, 450.0, 123456789.75]
+    orders = spark.createDataFrame([(k, p) for k, p in enumerate(prices)], "o_orderkey long, o_totalprice double")
+    orders.selectExpr("*", "if(o_orderkey = 4, null, timestamp_ntz'1996-03-05 00:00:00') AS o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW orders AS SELECT * FROM '{tmp_path}/orders.parquet/*.parquet'")
+    names = "o_orderkey, first_number, unit, whole, reference, share"
+    got = sorted(tuple(r) for r in QUERIES["m_numbers"](spark, str(tmp_path)).select(*names.split(", ")).collect())
+    assert got == sorted(con.execute(f"SELECT {names} FROM ({ORACLES['m_numbers']})").fetchall())
+    assert [r[-1] for r in got[:2]] == [209.2, 484.1]
