@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import numbers
+
 
 def largest_absolute(df: DataFrame, key: str, column: str, tie: str) -> DataFrame:
     """The row of each key whose ``column`` lies farthest from 0; ties go to the smaller ``tie``."""
@@ -104,4 +106,4 @@ def progress(work: DataFrame) -> DataFrame:
     """percent and eta_seconds of work (done, total, rolling and average rates a minute): the rolling rate, where it is known."""
     rate = F.coalesce(F.when(F.col("rolling") > 0, F.col("rolling")), F.when(F.col("average") > 0, F.col("average")))
     left = F.when((F.col("total") > 0) & (F.col("done") < F.col("total")), (F.col("total") - F.col("done")) / rate * 60)
-    return work.withColumn("percent", F.when(F.col("total") > 0, F.round(F.col("done") / F.col("total") * 100, 1))).withColumn("rate", rate).withColumn("eta_seconds", F.round(left, 1))
+    return work.withColumn("percent", F.when(F.col("total") > 0, numbers.rounded(F.col("done") / F.col("total") * 100, 1))).withColumn("rate", rate).withColumn("eta_seconds", numbers.rounded(left, 1))

@@ -89,3 +89,15 @@ def test_numbers_of_orders_at_the_edge_of_rounding(spark, tmp_path):
     got = sorted(tuple(r) for r in QUERIES["m_numbers"](spark, str(tmp_path)).select(*names.split(", ")).collect())
     assert got == sorted(con.execute(f"SELECT {names} FROM ({ORACLES['m_numbers']})").fetchall())
     assert [r[-1] for r in got[:2]] == [209.2, 484.1]
+
+
+def test_progress_at_the_edge_of_rounding(spark, tmp_path):
+    pairs = [(18, 4000), (37, 2000), (143, 2000), (149, 2000), (148, 8000), (111, 6000), (20, 4000), (700, 500), (12, 12)]  # done, total
+    orders = [(key, customer) for customer, (k, m) in enumerate(pairs, 1) for key in (k - 10, m - 11 + 9000)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW orders AS SELECT * FROM '{tmp_path}/orders.parquet/*.parquet'")
+    names = "claim_id, percent, rate, eta_seconds"
+    got = sorted(tuple(r) for r in QUERIES["w20_progress"](spark, str(tmp_path)).select(*names.split(", ")).collect())
+    assert got == sorted(con.execute(f"SELECT {names} FROM ({ORACLES['w20_progress']})").fetchall())
+    assert [r[1] for r in got] == [0.5, 1.9, 7.2, 7.5, 1.9, 1.9, 0.5, 140.0, 100.0]
